@@ -67,6 +67,10 @@ def _student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
         if pd.isna(stat) or pd.isna(dof):
             return None
         square = stat * stat
+        if dof > 1e6:
+            # Normal approximation 26.7.8 of Abramowitz and Stegun; its error is of order 1/dof².
+            z = stat * (1.0 - 0.25 / dof) / math.sqrt(1.0 + square / (2.0 * dof))
+            return math.erfc(abs(z) / math.sqrt(2.0))
         x, y = dof / (dof + square), square / (dof + square)
         return _incomplete_beta(dof / 2.0, 0.5, x, y, _log_beta_half(dof / 2.0))
 

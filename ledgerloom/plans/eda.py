@@ -217,17 +217,24 @@ def review_overview(reviews: DataFrame) -> DataFrame:
 def late_by_review(
     orders: DataFrame, reviews: DataFrame, scores: Sequence[int] = REVIEW_SCORES
 ) -> DataFrame:
-    """Review counts by delivery outcome; one row per review of a delivered order."""
-    table = (
+    """Review counts by delivery outcome, each review of a delivered order counted.
+
+    Reviews are counted per order and score before the join, so an order with very many reviews
+    is one row there, and the join reuses the partitioning of that aggregation.
+    """
+    names = [f"score_{s}" for s in scores]
+    per_order = (
+        reviews.where(F.col("order_id").isNotNull())
+        .groupBy("order_id")
+        .agg(*[F.count_if(F.col("review_score") == s).alias(n) for s, n in zip(scores, names)])
+    )
+    return (
         delivered_only(orders)
         .select("order_id", "is_late")
-        .join(reviews.select("order_id", "review_score"), "order_id")
+        .join(per_order, "order_id")
         .groupBy(F.when(F.col("is_late") == 1, "Late").otherwise("On-Time").alias("delivery"))
-        .pivot("review_score", list(scores))
-        .count()
-        .fillna(0)
+        .agg(*[F.sum(n).alias(n) for n in names])
     )
-    return table.select("delivery", *[F.col(str(s)).alias(f"score_{s}") for s in scores])
 
 
 def state_stats(orders: DataFrame, payments: DataFrame, customers: DataFrame) -> DataFrame:

@@ -221,19 +221,29 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
 def campaign(master: DataFrame, assignments: DataFrame) -> DataFrame:
     """Report 12: users, orders and revenue per experiment variant.
 
-    ``conversion_rate`` is orders per user here and may exceed one. The master is narrowed to
-    three columns before the join, and the join's output is reduced per variant on the map side.
+    ``conversion_rate`` is orders per user here and may exceed one. Orders are summed per
+    customer and assignments counted per customer and variant before the join: a customer with
+    very many orders is one row in it, and no distinct count runs over order rows. An order
+    belongs to one customer, so adding up distinct orders per customer counts each once; a
+    customer assigned twice to a variant counts its revenue twice, as joining rows would.
     """
-    joined = master.select("customer_id", "order_id", "total_payment").join(
-        assignments.select("customer_id", "variant"), "customer_id"
+    spend = master.groupBy("customer_id").agg(
+        F.countDistinct("order_id").alias("_orders"),
+        F.sum("total_payment").alias("_spend"),
+        F.count("total_payment").alias("_paid"),
     )
+    assigned = assignments.groupBy("customer_id", "variant").agg(F.count("*").alias("_times"))
+    revenue = F.sum(F.col("_spend") * F.col("_times"))
     return (
-        joined.groupBy("variant")
+        spend.join(assigned, "customer_id")
+        .groupBy("variant")
         .agg(
-            F.countDistinct("customer_id").alias("users"),
-            F.countDistinct("order_id").alias("orders"),
-            F.sum("total_payment").alias("_revenue"),
-            sql_round(F.avg("total_payment"), 2).alias("avg_order_value"),
+            F.count("*").alias("users"),
+            F.sum("_orders").alias("orders"),
+            revenue.alias("_revenue"),
+            sql_round(ratio(revenue, F.sum(F.col("_paid") * F.col("_times"))), 2).alias(
+                "avg_order_value"
+            ),
         )
         .select(
             "variant",

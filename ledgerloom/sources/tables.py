@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,21 +53,30 @@ def run_etl(
 ) -> dict[str, DataFrame]:
     """Build and store the five processed tables and return them read back.
 
-    The joins run once: the customer scores are computed from the stored master table.
+    The joins run once: the customer scores are computed from the stored master table. The
+    other tables do not depend on it and are written at the same time, as separate Spark jobs
+    that fill executors left idle by the tail of another job's stages.
     """
-    write_processed({"master": etl.build_master(tables)}, folder)
-    master = read_table(spark, folder, "master")
-    write_processed(
-        {
-            "rfm": rfm.score_by_quartiles(rfm.rfm_base(master)),
-            "orders": op.delivered_orders(tables["orders"]),
-            "items": op.item_totals(tables["order_items"]),
-            "payments": op.payments_per_order(tables["order_payments"]),
-        },
-        folder,
-    )
-    names = ("master", "rfm", "orders", "items", "payments")
-    return {name: read_table(spark, folder, name) for name in names}
+
+    def customers_after_master() -> None:
+        write_processed({"master": etl.build_master(tables)}, folder)
+        master = read_table(spark, folder, "master")
+        write_processed({"rfm": rfm.score_by_quartiles(rfm.rfm_base(master))}, folder)
+
+    others = {
+        "orders": op.delivered_orders(tables["orders"]),
+        "items": op.item_totals(tables["order_items"]),
+        "payments": op.payments_per_order(tables["order_payments"]),
+    }
+    run = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(others) + 1) as pool:
+        jobs = [pool.submit(run(customers_after_master))]
+        jobs += [
+            pool.submit(run(write_processed), {name: df}, folder) for name, df in others.items()
+        ]
+        for job in jobs:
+            job.result()
+    return {name: read_table(spark, folder, name) for name in ("master", "rfm", *others)}
 
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
