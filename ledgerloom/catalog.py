@@ -26,14 +26,13 @@ def query(run: Query) -> Query:
     return run
 
 
-def _master(spark: SparkSession, folder: str, *parts: str) -> DataFrame:
-    return etl.build_master(bench.domain_tables(spark, folder), parts)
+def _master(spark: SparkSession, folder: str, customers: bool = False) -> DataFrame:
+    return etl.build_master(bench.domain_tables(spark, folder), with_customers=customers)
 
 
 def _rfm_base(spark: SparkSession, folder: str, with_service: bool = False) -> DataFrame:
-    parts = ("payments", "reviews") if with_service else ("payments",)
     snapshot = etl.snapshot_time(bench.orders(spark, folder))
-    return rfm.rfm_base(_master(spark, folder, *parts), snapshot, with_service=with_service)
+    return rfm.rfm_base(_master(spark, folder), snapshot, with_service=with_service)
 
 
 def _units(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +44,7 @@ def _units(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def master(spark, folder):
     return _rounded(
-        _master(spark, folder, *etl.MASTER_PARTS),
+        _master(spark, folder, customers=True),
         order_value=6, avg_price=6, total_payment=6, review_score=6,
     )
 
@@ -109,47 +108,47 @@ def rfm_segment_counts(spark, folder):
 
 @query
 def q01_monthly_revenue(spark, folder):
-    return reports.monthly_revenue(_master(spark, folder, "payments"))
+    return reports.monthly_revenue(_master(spark, folder))
 
 
 @query
 def q02_top_states(spark, folder):
-    return reports.top_states(_master(spark, folder, "payments", "reviews", "customers"))
+    return reports.top_states(_master(spark, folder, customers=True))
 
 
 @query
 def q03_payment_mix(spark, folder):
-    return reports.payment_mix(_master(spark, folder, "payments"))
+    return reports.payment_mix(_master(spark, folder))
 
 
 @query
 def q04_delivery_by_state(spark, folder):
-    return reports.delivery_by_state(_master(spark, folder, "customers"))
+    return reports.delivery_by_state(_master(spark, folder, customers=True))
 
 
 @query
 def q05_review_vs_delivery(spark, folder):
-    return reports.review_vs_delivery(_master(spark, folder, "payments", "reviews"))
+    return reports.review_vs_delivery(_master(spark, folder))
 
 
 @query
 def q06_hourly(spark, folder):
-    return reports.hourly_pattern(_master(spark, folder, "payments"))
+    return reports.hourly_pattern(_master(spark, folder))
 
 
 @query
 def q07_weekday(spark, folder):
-    return reports.weekday_pattern(_master(spark, folder, "payments"))
+    return reports.weekday_pattern(_master(spark, folder))
 
 
 @query
 def q08_top_customers(spark, folder):
-    return reports.top_customers(_master(spark, folder, "payments", "reviews"), exact=True)
+    return reports.top_customers(_master(spark, folder), exact=True)
 
 
 @query
 def q08_top_customers_approx(spark, folder):
-    return reports.top_customers(_master(spark, folder, "payments", "reviews"))
+    return reports.top_customers(_master(spark, folder))
 
 
 @query
@@ -159,7 +158,7 @@ def q09_status_funnel(spark, folder):
 
 @query
 def q10_mom_growth(spark, folder):
-    return reports.month_over_month(_master(spark, folder, "payments"))
+    return reports.month_over_month(_master(spark, folder))
 
 
 @query
@@ -170,7 +169,7 @@ def q11_segment_summary(spark, folder):
 @query
 def q12_campaign(spark, folder):
     return reports.campaign(
-        _master(spark, folder, "payments"), bench.experiment_assignments(spark, folder)
+        _master(spark, folder), bench.experiment_assignments(spark, folder)
     )
 
 
@@ -315,7 +314,7 @@ def eda_summary(spark, folder):
 # ---- demand ----------------------------------------------------------------------------------------
 
 def _panel(spark, folder) -> demand.DemandPanel:
-    return demand.build_features(_master(spark, folder, "payments", "reviews", "customers"))
+    return demand.build_features(_master(spark, folder, customers=True))
 
 
 _PANEL_DIGITS = {

@@ -30,7 +30,8 @@ def only_delivered(orders: DataFrame) -> DataFrame:
 
 def delivered_orders(orders: DataFrame) -> DataFrame:
     """Delivered orders that carry a delivery date, with the derived columns."""
-    return only_delivered(derive_orders(orders)).dropna(subset=["order_delivered_customer_date"])
+    delivered = only_delivered(derive_orders(orders))
+    return delivered.where(F.col("order_delivered_customer_date").isNotNull())
 
 
 def item_totals(items: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,19 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import orders as op
 from ledgerloom.plans import rfm
 
-MASTER_PARTS = ("items", "payments", "reviews", "customers")
-
-_PART_COLUMNS = {
-    "items": ["num_items", "order_value", "avg_price"],
-    "payments": ["total_payment", "installments", "payment_type"],
-    "reviews": ["review_score"],
-    "customers": ["customer_state", "customer_city"],
-}
-
-
-def build_master(
-    tables: Mapping[str, DataFrame], parts: Collection[str] = MASTER_PARTS
-) -> DataFrame:
+def build_master(tables: Mapping[str, DataFrame], with_customers: bool = True) -> DataFrame:
     """One row per delivered order with item, payment, review and customer columns.
 
     The customer lookup comes first, while the order rows are narrow, and is followed by the
@@ -30,26 +18,26 @@ def build_master(
     and the result stays partitioned by ``order_id``. A customer with very many orders only
     makes the lookup uneven, and AQE may split that, because a shuffle follows anyway.
 
-    ``parts`` leaves out sides whose columns a caller does not need. A left join against a side
-    with one row per key cannot change the remaining columns, but Spark does not know that the
-    key is unique and would run the join.
+    Per-order aggregates have one row per order, which Spark sees: a side whose columns a query
+    does not use is dropped from its plan. It cannot see that for the customers, so
+    ``with_customers=False`` leaves that lookup out.
     """
-    unknown = set(parts) - set(MASTER_PARTS)
-    if unknown:
-        raise ValueError(f"unknown master parts: {sorted(unknown)}")
     orders = op.delivered_orders(tables["orders"])
+    places: list[str] = []
     master = orders
-    if "customers" in parts:
-        places = tables["customers"].select("customer_id", *_PART_COLUMNS["customers"])
-        master = master.join(places, "customer_id", "left")
-    if "items" in parts:
-        master = master.join(op.items_per_order(tables["order_items"]), "order_id", "left")
-    if "payments" in parts:
-        master = master.join(op.payments_per_order(tables["order_payments"]), "order_id", "left")
-    if "reviews" in parts:
-        master = master.join(op.reviews_per_order(tables["order_reviews"]), "order_id", "left")
+    if with_customers:
+        places = ["customer_state", "customer_city"]
+        master = master.join(tables["customers"].select("customer_id", *places), "customer_id", "left")
+    for side in (
+        op.items_per_order(tables["order_items"]),
+        op.payments_per_order(tables["order_payments"]),
+        op.reviews_per_order(tables["order_reviews"]),
+    ):
+        master = master.join(side, "order_id", "left")
     return master.select(
-        *orders.columns, *[c for p in MASTER_PARTS if p in parts for c in _PART_COLUMNS[p]]
+        *orders.columns,
+        *[c for c in master.columns if c not in {*orders.columns, *places}],
+        *places,
     )
 
 
@@ -67,7 +55,7 @@ def snapshot_time(orders: DataFrame) -> Column:
 def build_processed(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The five processed tables. ``rfm`` reuses the lazily built master."""
     master = build_master(tables)
-    spend = build_master(tables, parts=("payments",))
+    spend = build_master(tables, with_customers=False)
     return {
         "master": master,
         "rfm": rfm.score_by_quartiles(
