@@ -27,7 +27,11 @@ def query(run: Query) -> Query:
 
 
 def _master(spark: SparkSession, folder: str, customers: bool = False) -> DataFrame:
-    return etl.build_master(bench.domain_tables(spark, folder), with_customers=customers)
+    sides = [bench.orders, bench.order_items, bench.order_payments, bench.order_reviews]
+    if customers:
+        sides.append(bench.customers)
+    tables = {side.__name__: side(spark, folder) for side in sides}
+    return etl.build_master(tables, with_customers=customers)
 
 
 def _rfm_base(spark: SparkSession, folder: str, with_service: bool = False) -> DataFrame:

@@ -7,18 +7,22 @@ task. Both stop working when a group is large. Everything here instead
 2. range-partitions the remaining distinct values over the whole cluster,
 3. adds up per-partition totals (one row per partition and group) to get offsets.
 
-Each range is written out before it is numbered, so a re-run task cannot shift a boundary.
+Each range is written out before it is numbered, so a re-run task cannot shift a boundary. A
+table whose counted size is small is numbered by plain windows instead, which takes fewer stages.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shuffle_partitions, spool
 
+# Up to this many (counted) rows, one task may number a whole table.
+ONE_TASK_ROWS = 500_000
+
 _RANGE = "_range"
 
 
@@ -37,9 +41,34 @@ def running_totals(
     """
     by, order = list(by), list(order)
     group_totals = group_totals or {}
-    parts = shuffle_partitions(df.sparkSession)
+    table = spool(df, "ordered")
+    if table.count() <= ONE_TASK_ROWS:
+        return _numbered_by_group(table, order, totals, by, group_totals)
+    return _numbered_by_range(table, order, totals, by, group_totals)
+
+
+def _upto(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _numbered_by_group(
+    table: DataFrame, order: list, totals: dict, by: list, group_totals: dict
+) -> DataFrame:
+    group = Window.partitionBy(*by)
+    running = _upto(group.orderBy(*order))
+    return table.select(
+        "*",
+        *[F.sum(c).over(running).alias(name) for c, name in totals.items()],
+        *[F.sum(c).over(group).alias(name) for c, name in group_totals.items()],
+    )
+
+
+def _numbered_by_range(
+    table: DataFrame, order: list, totals: dict, by: list, group_totals: dict
+) -> DataFrame:
+    parts = shuffle_partitions(table.sparkSession)
     ranged = spool(
-        df.repartitionByRange(parts, *by, *order).withColumn(_RANGE, F.spark_partition_id()),
+        table.repartitionByRange(parts, *by, *order).withColumn(_RANGE, F.spark_partition_id()),
         "ranges",
     )
     everything = Window.partitionBy(*by)
@@ -57,14 +86,10 @@ def running_totals(
             *[F.sum(f"_sum_{c}").over(everything).alias(n) for c, n in group_totals.items()],
         )
     )
-    inside = (
-        Window.partitionBy(*by, _RANGE)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    inside = _upto(Window.partitionBy(*by, _RANGE).orderBy(*order))
     local = ranged.withColumns({f"_local_{c}": F.sum(c).over(inside) for c in totals})
     return local.join(offsets, [*by, _RANGE]).select(
-        *df.columns,
+        *table.columns,
         *[(F.col(f"_before_{c}") + F.col(f"_local_{c}")).alias(n) for c, n in totals.items()],
         *group_totals.values(),
     )

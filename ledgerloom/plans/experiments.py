@@ -16,7 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import clip_above, even_round, percent, ratio
-from ledgerloom.functions.pvalues import normal_two_sided, student_two_sided
+from ledgerloom.functions.pvalues import (
+    normal_two_sided,
+    rank_sum_two_sided,
+    student_two_sided,
+)
 from ledgerloom.operators import ordered
 from ledgerloom.operators.histogram import histogram
 from ledgerloom.session import spool
@@ -68,20 +72,37 @@ def _decision(reason: str = "") -> list[Column]:
     ]
 
 
+def _conversion_sums() -> list[Column]:
+    return [
+        column
+        for v in ("control", "test")
+        for column in (
+            F.count(_in(v, F.lit(1))).alias(f"n_{v}"),
+            F.sum(_in(v, F.col("converted"))).alias(f"x_{v}"),
+        )
+    ]
+
+
+def _revenue_sums() -> list[Column]:
+    return [
+        column
+        for v in ("control", "test")
+        for column in (
+            F.count(_in(v, F.col("revenue"))).alias(f"paid_{v}"),
+            F.avg(_in(v, F.col("revenue"))).alias(f"{v}_avg"),
+            F.var_samp(_in(v, F.col("revenue"))).alias(f"var_{v}"),
+        )
+    ]
+
+
 # ---- conversion: pooled two-proportion z ------------------------------------------------
 
-def conversion_stats(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def _conversion_stats(sums: DataFrame, by: Sequence[str]) -> DataFrame:
     n1, n2 = F.col("n_control"), F.col("n_test")
     pooled = (F.col("x_control") + F.col("x_test")) / (n1 + n2)
     spread = F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2))
     return (
-        units.groupBy(*by)
-        .agg(
-            F.count(_in("control", F.lit(1))).alias("n_control"),
-            F.count(_in("test", F.lit(1))).alias("n_test"),
-            F.sum(_in("control", F.col("converted"))).alias("x_control"),
-            F.sum(_in("test", F.col("converted"))).alias("x_test"),
-        )
+        sums.select(*by, "n_control", "n_test", "x_control", "x_test")
         .withColumn("control_cvr", ratio(F.col("x_control"), n1))
         .withColumn("test_cvr", ratio(F.col("x_test"), n2))
         .withColumn(
@@ -91,10 +112,13 @@ def conversion_stats(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def conversion_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Two-sided z-test for the difference of conversion rates; lift is test over control."""
+def conversion_stats(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return _conversion_stats(units.groupBy(*by).agg(*_conversion_sums()), by)
+
+
+def _conversion_test(sums: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
-        conversion_stats(units, by)
+        _conversion_stats(sums, by)
         .withColumn("p_value", normal_two_sided(F.col("z_stat")))
         .select(
             *by,
@@ -107,39 +131,43 @@ def conversion_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def conversion_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Two-sided z-test for the difference of conversion rates; lift is test over control."""
+    return _conversion_test(units.groupBy(*by).agg(*_conversion_sums()), by)
+
+
 # ---- revenue: Welch's t -----------------------------------------------------------------
 
-def revenue_stats(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``t_stat`` is control minus test while ``lift_pct`` is test over control, so the two
-    have opposite signs."""
-    aggregates = []
-    for variant in ("control", "test"):
-        value = _in(variant, F.col("revenue"))
-        aggregates += [
-            F.count(value).alias(f"n_{variant}"),
-            F.avg(value).alias(f"{variant}_avg"),
-            F.var_samp(value).alias(f"var_{variant}"),
-        ]
-    e1 = F.try_divide(F.col("var_control"), F.col("n_control"))
-    e2 = F.try_divide(F.col("var_test"), F.col("n_test"))
+_REVENUE_NAMES = (("paid_", ""), ("", "_avg"), ("var_", ""))
+
+
+def _revenue_stats(sums: DataFrame, by: Sequence[str]) -> DataFrame:
+    n1, n2 = F.col("paid_control"), F.col("paid_test")
+    e1 = F.try_divide(F.col("var_control"), n1)
+    e2 = F.try_divide(F.col("var_test"), n2)
     freedom = F.try_divide(
         (e1 + e2) * (e1 + e2),
-        F.try_divide(e1 * e1, F.col("n_control") - 1) + F.try_divide(e2 * e2, F.col("n_test") - 1),
+        F.try_divide(e1 * e1, n1 - 1) + F.try_divide(e2 * e2, n2 - 1),
     )
     difference = F.col("control_avg") - F.col("test_avg")
     return (
-        units.groupBy(*by)
-        .agg(*aggregates)
+        sums.select(*by, *[f"{c}{v}{d}" for v in ("control", "test") for c, d in _REVENUE_NAMES])
         .withColumn("t_stat", F.try_divide(difference, F.sqrt(e1 + e2)))
         .withColumn("degrees", freedom)
         .withColumn("lift_pct", percent(-difference, F.col("control_avg")))
+        .withColumnsRenamed({"paid_control": "n_control", "paid_test": "n_test"})
     )
 
 
-def revenue_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Two-sided Welch t-test for the difference of mean revenue."""
+def revenue_stats(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``t_stat`` is control minus test while ``lift_pct`` is test over control, so the two
+    have opposite signs."""
+    return _revenue_stats(units.groupBy(*by).agg(*_revenue_sums()), by)
+
+
+def _revenue_test(sums: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
-        revenue_stats(units, by)
+        _revenue_stats(sums, by)
         .withColumn("p_value", student_two_sided(F.col("t_stat"), F.col("degrees")))
         .select(
             *by,
@@ -152,6 +180,11 @@ def revenue_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def revenue_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Two-sided Welch t-test for the difference of mean revenue."""
+    return _revenue_test(units.groupBy(*by).agg(*_revenue_sums()), by)
+
+
 # ---- pages: Mann-Whitney U --------------------------------------------------------------
 
 def pages_stats(units: DataFrame, by: Sequence[str] = (), value: str = "session_pages") -> DataFrame:
@@ -201,12 +234,9 @@ def pages_stats(units: DataFrame, by: Sequence[str] = (), value: str = "session_
 
 
 def pages_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Two-sided Mann-Whitney test by the normal approximation with continuity correction.
-
-    The correction can take the statistic below zero; its upper tail then exceeds one half and
-    the two-sided value is capped at one.
-    """
-    p = F.when(F.col("z_stat") <= 0, F.lit(1.0)).otherwise(normal_two_sided(F.col("z_stat")))
+    """Two-sided Mann-Whitney test: the exact distribution when one sample is tiny and no value
+    is tied, else the normal approximation with continuity correction, capped at one."""
+    p = rank_sum_two_sided(*map(F.col, ("u_stat", "n_control", "n_test", "tie_sum", "z_stat")))
     return (
         pages_stats(units, by)
         .withColumn("p_value", p)
@@ -223,27 +253,32 @@ def pages_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # ---- everything together ----------------------------------------------------------------
 
 def run_tests(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per experiment and test: effect, statistic, p-value and decision."""
-    shared = [*by, "test", "control_value", "test_value", "lift_pct", "statistic"]
-    tests = [
-        (conversion_test, "Z-test (conversion rate)", "control_cvr", "test_cvr", "z_stat"),
-        (revenue_test, "Welch t-test (revenue per user)", "control_avg", "test_avg", "t_stat"),
-        (pages_test, "Mann-Whitney U (session pages)", "control_median", "test_median", "u_stat"),
+    """One row per experiment and test: effect, statistic, p-value and decision. Reads the units
+    twice: once for the moments of two tests, once for the value counts of the third."""
+    by = list(by)
+    sums = spool(units.groupBy(*by).agg(*_conversion_sums(), *_revenue_sums()), "moments")
+    results = [
+        (_conversion_test(sums, by), "Z-test (conversion rate)", "control_cvr", "test_cvr", "z_stat"),
+        (_revenue_test(sums, by), "Welch t-test (revenue per user)", "control_avg", "test_avg",
+         "t_stat"),
+        (pages_test(units, by), "Mann-Whitney U (session pages)", "control_median", "test_median",
+         "u_stat"),
     ]
     tables = []
-    for run, title, control, test, statistic in tests:
-        result = run(units, by)
-        if "lift_pct" not in result.columns:
-            result = result.withColumn("lift_pct", F.lit(None).cast("double"))
+    for result, title, control, test, statistic in results:
+        lift = F.col("lift_pct") if "lift_pct" in result.columns else F.lit(None).cast("double")
         tables.append(
-            result.withColumns(
-                {
-                    "test": F.lit(title),
-                    "control_value": F.col(control),
-                    "test_value": F.col(test),
-                    "statistic": F.col(statistic),
-                }
-            ).select(*shared, "p_value", "significant", "decision")
+            result.select(
+                *by,
+                F.lit(title).alias("test"),
+                F.col(control).alias("control_value"),
+                F.col(test).alias("test_value"),
+                lift.alias("lift_pct"),
+                F.col(statistic).alias("statistic"),
+                "p_value",
+                "significant",
+                "decision",
+            )
         )
     return reduce(DataFrame.unionByName, tables)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 
@@ -88,6 +89,27 @@ def test_mann_whitney_against_pairs(spark, seed):
     assert shown["p_value"] == pytest.approx(math.erfc(z / math.sqrt(2)), abs=1e-6)
 
 
+@pytest.mark.parametrize("n1, n2, seed", [(3, 4, 1), (4, 6, 2), (8, 5, 3), (2, 9, 4)])
+def test_small_tie_free_samples_use_the_exact_distribution(spark, n1, n2, seed):
+    """Against every way of assigning the ranks to the control sample."""
+    rng = random.Random(seed)
+    values = rng.sample(range(100), n1 + n2)
+    control, test = values[:n1], values[n1:]
+    units = frame(spark, [(0, 0.0, v) for v in control], [(0, 0.0, v) for v in test])
+    u = brute_u(control, test)
+    ranks = range(1, n1 + n2 + 1)
+    all_u = [sum(c) - n1 * (n1 + 1) / 2 for c in itertools.combinations(ranks, n1)]
+    extreme = max(u, n1 * n2 - u)
+    p = min(1.0, 2 * sum(v >= extreme for v in all_u) / len(all_u))
+    row = ex.pages_test(units).first()
+    assert row["u_stat"] == u and row["p_value"] == pytest.approx(p, abs=1e-6)
+
+
+def test_one_empty_sample(spark):
+    row = ex.pages_test(frame(spark, [(0, 0.0, 3)], [])).first()
+    assert row["p_value"] is None and row["test_median"] is None
+
+
 def test_mann_whitney_of_equal_samples_is_capped(spark):
     pages = [(0, 0.0, v) for v in range(12)]
     row = ex.pages_test(frame(spark, pages, pages)).first()

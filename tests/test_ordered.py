@@ -16,6 +16,13 @@ from ledgerloom.operators.histogram import histogram
 from ledgerloom.plans import rfm
 
 
+@pytest.fixture(params=["one task", "ranges"], autouse=True)
+def path(request, monkeypatch):
+    """Every test runs on both ways of numbering a table."""
+    if request.param == "ranges":
+        monkeypatch.setattr(ordered, "ONE_TASK_ROWS", 0)
+
+
 def hot_frame(spark, n=600):
     """Two groups; one value holds a third of all rows."""
     rng = random.Random(5)
