@@ -307,18 +307,17 @@ def summary(tables: Mapping[str, DataFrame], approximate_people: bool = False) -
     def scalar(df: DataFrame, *columns: Column) -> Column:
         return df.select(*columns).scalar()
 
-    totals = orders.agg(
-        F.struct(
-            F.count("*").alias("total"),
-            F.count_if(F.col("order_status") == "delivered").alias("delivered"),
-        ).alias("s")
-    ).scalar()
-    delivery = (
-        plausible_deliveries(orders)
+    delivered = F.col("order_status") == "delivered"
+    days = F.when(delivered & F.col("delivery_days").between(0, 60), F.col("delivery_days"))
+    late = F.sum(F.when(days.isNotNull(), F.col("is_late")))
+    totals = (
+        op.derive_orders(orders)
         .agg(
             F.struct(
-                even_round(percent(F.sum("is_late"), F.count("*")), 1).alias("late"),
-                even_round(F.avg("delivery_days"), 1).alias("days"),
+                F.count("*").alias("total"),
+                F.count_if(delivered).alias("delivered"),
+                even_round(percent(late, F.count(days)), 1).alias("late"),
+                even_round(F.avg(days), 1).alias("days"),
             ).alias("s")
         )
         .scalar()
@@ -342,8 +341,8 @@ def summary(tables: Mapping[str, DataFrame], approximate_people: bool = False) -
         people.scalar().alias("unique_customers"),
         sellers.scalar().alias("unique_sellers"),
         scalar(reviews, F.col("avg_score")).alias("avg_review_score"),
-        delivery.getField("late").alias("late_rate_pct"),
-        delivery.getField("days").alias("avg_delivery_days"),
+        totals.getField("late").alias("late_rate_pct"),
+        totals.getField("days").alias("avg_delivery_days"),
         scalar(by_state, F.col("customer_state")).alias("top_state"),
         scalar(peak_hour(orders), F.col("peak_hour")).alias("peak_hour"),
         scalar(by_type, F.col("payment_type")).alias("top_payment"),

@@ -138,9 +138,6 @@ def conversion_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 # ---- revenue: Welch's t -----------------------------------------------------------------
 
-_REVENUE_NAMES = (("paid_", ""), ("", "_avg"), ("var_", ""))
-
-
 def _revenue_stats(sums: DataFrame, by: Sequence[str]) -> DataFrame:
     n1, n2 = F.col("paid_control"), F.col("paid_test")
     e1 = F.try_divide(F.col("var_control"), n1)
@@ -151,7 +148,9 @@ def _revenue_stats(sums: DataFrame, by: Sequence[str]) -> DataFrame:
     )
     difference = F.col("control_avg") - F.col("test_avg")
     return (
-        sums.select(*by, *[f"{c}{v}{d}" for v in ("control", "test") for c, d in _REVENUE_NAMES])
+        sums.select(
+            *by, "paid_control", "control_avg", "var_control", "paid_test", "test_avg", "var_test"
+        )
         .withColumn("t_stat", F.try_divide(difference, F.sqrt(e1 + e2)))
         .withColumn("degrees", freedom)
         .withColumn("lift_pct", percent(-difference, F.col("control_avg")))
