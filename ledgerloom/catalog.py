@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import ordered
 from ledgerloom.operators import orders as op
-from ledgerloom.operators.histogram import histogram
 from ledgerloom.plans import (
     clusters, demand, eda, etl, experiments, forecast, reports, rfm, scoring,
 )
-from ledgerloom.session import spool
+from ledgerloom.session import scratch_root, spool
 from ledgerloom.sources import benchmark_tables as bench
+from ledgerloom.streaming import requests as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -400,6 +401,12 @@ def power_check(spark, folder):
     )
 
 
+@query
+def revenue_p99(spark, folder):
+    limits = ordered.quantiles(_units(spark, folder), "revenue", [0.99], by=["variant"])
+    return _rounded(limits.select("variant", "n", F.col("quantiles")[0].alias("p99")), p99=6)
+
+
 @query
 def revenue_histogram(spark, folder):
     units = spool(_units(spark, folder).select("variant", "revenue"), "units")
@@ -505,6 +512,21 @@ def score_segment(spark, folder):
     return scoring.score_segment(customers, model, keep=["customer_id"])
 
 
+@query
+def score_segment_stream(spark, folder):
+    """The customers as a stream of request files; the scores are read back from the sink."""
+    place = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
+    customers = spool(_rfm_base(spark, folder), "requests")
+    model = clusters.cluster_customers(customers, ks=[4], restarts=2).model
+    customers.write.parquet(f"{place}/in")
+    incoming = stream.table_requests(spark, f"{place}/in", customers.schema)
+    stream.start_scoring(
+        incoming, scoring.score_segment, model, f"{place}/out", f"{place}/checkpoint",
+        keep=["customer_id"],
+    ).awaitTermination()
+    return spark.read.parquet(f"{place}/out")
+
+
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Round columns, so that engines that add numbers in another order give equal tables."""
     return df.withColumns({c: F.round(c, d) for c, d in digits.items()})

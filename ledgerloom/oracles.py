@@ -470,6 +470,8 @@ ORACLES: dict[str, str] = {
         / (0.02 * 0.02)) AS BIGINT) AS required_n FROM s)
       SELECT day, n_control, n_test, round(p1, 6) AS control_cvr, required_n,
         CAST(least(n_control, n_test) >= required_n AS INTEGER) AS enough FROM r""",
+    "revenue_p99": f"""WITH {_UNITS} SELECT variant, count(revenue) AS n,
+      round(quantile_cont(revenue, 0.99), 6) AS p99 FROM units GROUP BY variant""",
     "revenue_histogram": f"""WITH {_UNITS}, c AS (
       SELECT variant, least(revenue, quantile_cont(revenue, 0.99) OVER (PARTITION BY variant))
         AS revenue FROM units), bars AS (

@@ -13,7 +13,7 @@ from ledgerloom.oracles import ORACLES
 WITHOUT_SQL = {
     "ab_tests", "cluster_profile", "cluster_selection", "customer_clusters", "demand_forecast",
     "demand_leaderboard", "feature_importance", "q08_top_customers_approx", "score_demand",
-    "score_segment",
+    "score_segment", "score_segment_stream",
 }
 
 

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog import QUERIES
 from ledgerloom.plans import etl, reports
 from ledgerloom.session import scratch_root, spool
+from ledgerloom.sources import tables
 
 # Queries whose DataFrame is the whole plan (nothing is trained while it is built).
 FITTED = {
     "demand_leaderboard", "feature_importance", "demand_forecast", "cluster_selection",
     "customer_clusters", "cluster_profile", "score_demand", "score_segment",
+    "score_segment_stream",
 }
 
 
@@ -57,6 +59,16 @@ def test_reports_read_only_their_columns(spark, raw):
     assert "customer.parquet" not in plan
 
 
+def test_bucketed_raw_tables_need_no_shuffle_by_order(spark, raw, large_sides):
+    tables.save_tables(spark, raw, "bucketed", buckets=4)
+    stored = {name: spark.table(f"bucketed.{name}") for name in raw}
+    whole = physical(etl.build_master(stored))
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", whole)
+    assert sorted(keys) == ["customer_id", "customer_id", "order_id"]  # only the order rows move
+    report = physical(reports.monthly_revenue(etl.build_master(stored, with_customers=False)))
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", report) == ["year"]
+
+
 def test_filter_on_a_stored_table_reaches_the_scan(spark, raw, tmp_path):
     raw["orders"].write.parquet(str(tmp_path / "orders"))
     stored = {**raw, "orders": spark.read.parquet(str(tmp_path / "orders"))}
@@ -101,7 +113,7 @@ def test_hot_customer_is_split(spark, large_sides):
         F.lit(0.0).alias("freight_value"),
     )
     reviews = orders.select("order_id", F.lit(5).alias("review_score"))
-    tables = {
+    shop = {
         "orders": orders, "customers": customers, "order_payments": payments,
         "order_items": items, "order_reviews": reviews,
     }
@@ -114,7 +126,7 @@ def test_hot_customer_is_split(spark, large_sides):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        sums = etl.build_master(tables).groupBy("customer_state").agg(
+        sums = etl.build_master(shop).groupBy("customer_state").agg(
             F.count("*").alias("n"), F.sum("total_payment").alias("s")
         )
         rows = {r["customer_state"]: (r["n"], r["s"]) for r in sums.collect()}
