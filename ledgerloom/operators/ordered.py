@@ -13,7 +13,9 @@ table whose counted size is small is numbered by plain windows instead, which ta
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -32,19 +34,27 @@ def running_totals(
     totals: dict[str, str],
     by: Sequence[str] = (),
     group_totals: dict[str, str] | None = None,
+    rows: int | None = None,
+    only: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Inclusive running sums in ``order`` within each ``by`` group.
 
     ``totals`` maps a numeric column to the name of its running sum, ``group_totals`` to the
     name of the sum over its whole group. The ``order`` columns must be unique within a group,
     and the ``by`` columns free of nulls.
+
+    ``rows`` is the size of ``df`` where the caller knows it and ``df`` is stored; otherwise the
+    table is spooled to count it. ``only`` may leave out whole ranges of a large table: it gets
+    the first running sum before and at the end of a range and says whether the range matters.
     """
     by, order = list(by), list(order)
     group_totals = group_totals or {}
-    table = spool(df, "ordered")
-    if table.count() <= ONE_TASK_ROWS:
-        return _numbered_by_group(table, order, totals, by, group_totals)
-    return _numbered_by_range(table, order, totals, by, group_totals)
+    if rows is None:
+        df = spool(df, "ordered")
+        rows = df.count()
+    if rows <= ONE_TASK_ROWS:
+        return _numbered_by_group(df, order, totals, by, group_totals)
+    return _numbered_by_range(df, order, totals, by, group_totals, only)
 
 
 def _upto(window: WindowSpec) -> WindowSpec:
@@ -64,7 +74,12 @@ def _numbered_by_group(
 
 
 def _numbered_by_range(
-    table: DataFrame, order: list, totals: dict, by: list, group_totals: dict
+    table: DataFrame,
+    order: list,
+    totals: dict,
+    by: list,
+    group_totals: dict,
+    only: Callable[[Column, Column], Column] | None,
 ) -> DataFrame:
     parts = shuffle_partitions(table.sparkSession)
     ranged = spool(
@@ -73,12 +88,15 @@ def _numbered_by_range(
     )
     everything = Window.partitionBy(*by)
     earlier = everything.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range and group. Spooled, so that Spark knows how small it is and can drop
+    # unwanted ranges while reading, before the rows of the others are sorted.
     offsets = (
         ranged.groupBy(*by, _RANGE)
         .agg(*[F.sum(c).alias(f"_sum_{c}") for c in {**totals, **group_totals}])
         .select(
             *by,
             _RANGE,
+            *[f"_sum_{c}" for c in totals],
             *[
                 F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}")
                 for c in totals
@@ -86,18 +104,28 @@ def _numbered_by_range(
             *[F.sum(f"_sum_{c}").over(everything).alias(n) for c, n in group_totals.items()],
         )
     )
+    if only is not None:
+        first = next(iter(totals))
+        before = F.col(f"_before_{first}")
+        offsets = offsets.where(only(before, before + F.col(f"_sum_{first}")))
+    offsets = spool(offsets.drop(*[f"_sum_{c}" for c in totals]), "offsets")
     inside = _upto(Window.partitionBy(*by, _RANGE).orderBy(*order))
-    local = ranged.withColumns({f"_local_{c}": F.sum(c).over(inside) for c in totals})
-    return local.join(offsets, [*by, _RANGE]).select(
+    return ranged.join(offsets, [*by, _RANGE]).select(
         *table.columns,
-        *[(F.col(f"_before_{c}") + F.col(f"_local_{c}")).alias(n) for c, n in totals.items()],
+        *[
+            (F.col(f"_before_{c}") + F.sum(c).over(inside)).alias(name)
+            for c, name in totals.items()
+        ],
         *group_totals.values(),
     )
 
 
-def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_number") -> DataFrame:
+def row_numbers(
+    df: DataFrame, order: Sequence[str], name: str = "row_number", rows: int | None = None
+) -> DataFrame:
     """1-based global row number; ``order`` must be unique."""
-    return running_totals(df.withColumn("_one", F.lit(1)), order, {"_one": name}).drop("_one")
+    ones = df.withColumn("_one", F.lit(1))
+    return running_totals(ones, order, {"_one": name}, rows=rows).drop("_one")
 
 
 def quantiles(
@@ -110,7 +138,18 @@ def quantiles(
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    placed = running_totals(counted, [value], {"_n": "_upto"}, by, {"_n": "n"})
+    last = F.col("n") - 1
+    positions = [last * F.lit(float(p)) for p in probabilities]
+
+    def holds_a_position(before: Column, upto: Column) -> Column:
+        return reduce(
+            or_,
+            [(i >= before) & (i < upto) for p in positions for i in (F.floor(p), F.ceil(p))],
+        )
+
+    placed = running_totals(
+        counted, [value], {"_n": "_upto"}, by, {"_n": "n"}, only=holds_a_position
+    )
 
     def value_at(index: Column) -> Column:
         """Value in the 0-based sorted position ``index``."""
@@ -118,8 +157,7 @@ def quantiles(
         return F.max(F.when(hit, F.col(value).cast("double")))
 
     picks = []
-    for i, p in enumerate(probabilities):
-        position = (F.col("n") - 1) * F.lit(float(p))
+    for i, position in enumerate(positions):
         picks += [
             value_at(F.floor(position)).alias(f"_lo{i}"),
             value_at(F.ceil(position)).alias(f"_hi{i}"),
@@ -130,8 +168,8 @@ def quantiles(
         "n",
         F.array(
             *[
-                _between(F.col(f"_lo{i}"), F.col(f"_hi{i}"), (F.col("n") - 1) * F.lit(float(p)))
-                for i, p in enumerate(probabilities)
+                _between(F.col(f"_lo{i}"), F.col(f"_hi{i}"), position)
+                for i, position in enumerate(positions)
             ]
         ).alias("quantiles"),
     )
@@ -151,19 +189,22 @@ def quantile_values(df: DataFrame, value: str, probabilities: Sequence[float]) -
 
 
 def first_rank_cuts(df: DataFrame, order: Sequence[str], buckets: int = 4) -> list[tuple]:
-    """Sort keys of the last row of every equal-rank bucket but the last.
+    """Sort keys of the last row of every equal-rank bucket but the last, of a stored table.
 
     With ranks 1..n, the bucket edges are the linearly interpolated quantiles of those ranks;
     a row belongs behind an edge when its sort key lies after the returned key.
     """
     n = df.count()
     ends = [int(1 + (n - 1) * k / buckets) for k in range(1, buckets)]
-    rows = (
-        row_numbers(df.select(*order), order, "_rank")
-        .where(F.col("_rank").isin(ends))
-        .orderBy("_rank")
-        .collect()
+
+    def holds_an_end(before: Column, upto: Column) -> Column:
+        return reduce(or_, [(before < e) & (upto >= e) for e in ends])
+
+    ranked = running_totals(
+        df.select(*order, F.lit(1).alias("_one")), order, {"_one": "_rank"}, rows=n,
+        only=holds_an_end,
     )
+    rows = ranked.where(F.col("_rank").isin(ends)).collect()
     keys = {r["_rank"]: tuple(r[c] for c in order) for r in rows}
     return [keys[e] for e in ends if e in keys]
 

@@ -322,12 +322,14 @@ def summary(tables: Mapping[str, DataFrame], approximate_people: bool = False) -
         )
         .scalar()
     )
+    per_customer = (
+        delivered_only(orders).groupBy("customer_id").agg(F.count("order_id").alias("orders"))
+    )
     by_state = (
-        delivered_only(orders)
-        .join(tables["customers"].select("customer_id", "customer_state"), "customer_id")
+        per_customer.join(tables["customers"].select("customer_id", "customer_state"), "customer_id")
         .where(F.col("customer_state").isNotNull())
         .groupBy("customer_state")
-        .agg(F.count("order_id").alias("orders"))
+        .agg(F.sum("orders").alias("orders"))
         .orderBy(F.desc("orders"), "customer_state")
         .limit(1)
     )

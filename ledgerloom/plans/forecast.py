@@ -45,13 +45,14 @@ def split(features: DataFrame, test_share: float = 0.2, seed: int = 42) -> DataF
 def contiguous_folds(features: DataFrame, folds: int = 5) -> DataFrame:
     """Adds ``fold``: equal consecutive blocks in (state, year, month) order, the first ones a
     row longer when the rows do not divide evenly."""
-    size, longer = divmod(features.count(), folds)
+    rows = features.count()
+    size, longer = divmod(rows, folds)
     index = F.col("_row") - 1
     boundary = longer * (size + 1)
     fold = F.when(index < boundary, F.floor(index / (size + 1))).otherwise(
         longer + F.floor((index - boundary) / max(size, 1))
     )
-    numbered = row_numbers(features, _KEY, "_row")
+    numbered = row_numbers(features, _KEY, "_row", rows)
     return numbered.withColumn("fold", fold.cast("int")).drop("_row")
 
 
