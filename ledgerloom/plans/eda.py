@@ -278,10 +278,8 @@ def customer_histograms(preview: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles; one row per column."""
-    values = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "feature", "value"
-    )
-    values = spool(values, "values")
+    table = spool(df.select([F.col(c).cast("double").alias(c) for c in columns]), "measures")
+    values = table.unpivot([], list(columns), "feature", "value")
     moments = values.groupBy("feature").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),

@@ -230,3 +230,22 @@ def test_value_counts_order(shop):
     got = [r["review_score"] for r in
            eda.value_counts(shop["order_reviews"], "review_score", by_value=True).collect()]
     assert got == [1, 4, 5]
+
+
+def test_partitioning_does_not_change_results(raw):
+    scattered = {name: df.repartition(7) for name, df in raw.items()}
+    for report in (reports.monthly_revenue, reports.weekday_pattern, reports.top_states):
+        left = report(etl.build_master(raw)).collect()
+        assert left == report(etl.build_master(scattered)).collect()
+
+
+def test_shares_add_up(raw):
+    master = etl.build_master(raw)
+    for df, column in (
+        (reports.hourly_pattern(master), "pct_of_orders"),
+        (reports.weekday_pattern(master), "pct_of_orders"),
+        (reports.status_funnel(raw["orders"]), "pct"),
+        (eda.late_split(raw["orders"]), "pct"),
+        (eda.review_distribution(raw["order_reviews"]), "pct"),
+    ):
+        assert df.agg(F.sum(column)).first()[0] == pytest.approx(100, abs=1.3)

@@ -9,6 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import ordered
 from ledgerloom.plans import experiments as ex
 
 UNIT = "variant string, user_id long, converted int, revenue double, session_pages int"
@@ -116,6 +117,27 @@ def test_mann_whitney_of_equal_samples_is_capped(spark):
     assert row["u_stat"] == 72 and row["p_value"] == 1.0 and row["decision"] == "FAIL TO REJECT H₀"
 
 
+def test_ranges_give_the_same_ranks(spark, monkeypatch):
+    """The way large tables take, with two experiments and a value shared by a third of rows."""
+    rng = random.Random(8)
+    rows = [
+        ("ab"[i % 2], rng.choice(["control", "test"]), i, 0, 0.0,
+         50 if i % 3 == 0 else rng.randint(0, 400))
+        for i in range(900)
+    ]
+    units = spark.createDataFrame(rows, "experiment string, " + UNIT)
+    small = ex.pages_stats(units, ["experiment"]).orderBy("experiment").collect()
+    monkeypatch.setattr(ordered, "ONE_TASK_ROWS", 0)
+    large = ex.pages_stats(units, ["experiment"]).orderBy("experiment").collect()
+    assert small == large and len(small) == 2
+    for row in large:
+        c, t = (
+            [r[5] for r in rows if (r[0], r[1]) == (row["experiment"], v)]
+            for v in ("control", "test")
+        )
+        assert row["u_stat"] == brute_u(c, t)
+
+
 def test_many_experiments_in_one_job(spark):
     rng = random.Random(3)
     rows = [
