@@ -20,6 +20,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_spooled: list[str] = []
+
+
 def build_session(
     app_name: str = "ledgerloom", master: str | None = None, **extra: str
 ) -> SparkSession:
@@ -55,16 +58,33 @@ def spool(df: DataFrame, label: str) -> DataFrame:
     Used where several later steps need the same aggregated table, or where row placement must
     not change if a task is re-run. Unlike a cached frame it survives the loss of executors, and
     unlike an RDD checkpoint it keeps column pruning, filter push-down and file sizes, so that
-    Spark knows how large the table is when it picks a join. Removed when the driver exits.
+    Spark knows how large the table is when it picks a join. Removed when the driver exits, or
+    earlier by ``clear_spools``.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, hadoop_path = _hadoop(spark, path)
     files.deleteOnExit(hadoop_path)
+    _spooled.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_spools(spark: SparkSession) -> int:
+    """Delete the spooled tables written so far and return their number. For long-running
+    drivers, between queries: DataFrames built on those tables can no longer be read."""
+    paths = [_spooled.pop() for _ in range(len(_spooled))]
+    for path in paths:
+        files, hadoop_path = _hadoop(spark, path)
+        files.delete(hadoop_path, True)
+    return len(paths)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop_path.getFileSystem(configuration), hadoop_path
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog import QUERIES
 from ledgerloom.plans import etl, reports
-from ledgerloom.session import scratch_root, spool
+from ledgerloom.session import clear_spools, scratch_root, spool
 from ledgerloom.sources import tables
 
 # Queries whose DataFrame is the whole plan (nothing is trained while it is built).
@@ -149,3 +150,10 @@ def test_spool_lives_in_the_checkpoint_folder(spark):
 def test_spool_keeps_an_empty_table(spark):
     df = spool(spark.range(5).where("id > 9"), "t")
     assert df.count() == 0 and df.columns == ["id"]
+
+
+def test_spools_can_be_cleared(spark):
+    path = spool(spark.range(5), "t").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    assert clear_spools(spark) >= 1 and not os.path.exists(path)
+    assert clear_spools(spark) == 0
