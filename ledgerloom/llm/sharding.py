@@ -53,7 +53,7 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         levels = cells.select("*", F.explode(depths).alias("depth")).withColumn(
             "prefix", F.expr("left(cell, depth)")
         )
-        fits = (F.sum("n_bytes") <= limit) | (F.sum("n") == 1) | F.lit(reach >= _ALL_BITS)
+        fits = (F.sum("n_bytes") <= limit) | (F.sum("n") == 1) | (F.col("depth") == _ALL_BITS)
         # One bucket per prefix; those that fit name the cells below them.
         buckets = levels.groupBy("depth", "prefix").agg(fits.alias("fits")).where("fits")
         named = (

@@ -13,7 +13,7 @@ cut by the hash of its keys into blocks, and the URLs pass one block after the o
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, and no rule; rules
 for a host hold for its subdomains; of the rules that fit, the one with the longest host and path
-together wins; a key that is both allowed and blocked is blocked; a URL that no rule fits is not
+together wins, of equally long ones that with the longer host; a key that is both allowed and blocked is blocked; a URL that no rule fits is not
 listed and gets ``otherwise``. Repeated rows are judged alike. Extra columns are kept by ``judge``.
 """
 
@@ -53,17 +53,25 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def candidate_keys(host: Column, path: Column, shapes: Sequence[tuple[int, int]]) -> Column:
-    """The URL's keys of the given shapes, longest first."""
+    """The URL's keys of the given shapes, longest first, of equally long ones that with the longer
+    host."""
     known = F.array(*[F.struct(F.lit(n).alias("labels"), F.lit(m).alias("chars")) for n, m in shapes])
     labels = F.size(F.split(host, r"\."))
     fitting = F.filter(known, lambda s: (labels >= s.labels) & (F.length(path) >= s.chars))
-    keys = F.transform(
-        fitting, lambda s: F.concat(F.call_function("substring_index", host, F.lit("."), -s.labels), F.left(path, s.chars))
+    parts = F.transform(
+        fitting,
+        lambda s: F.struct(
+            F.call_function("substring_index", host, F.lit("."), -s.labels).alias("host"),
+            F.left(path, s.chars).alias("path"),
+        ),
     )
-    return F.transform(
-        F.sort_array(F.transform(keys, lambda k: F.struct(F.length(k), k.alias("key"))), asc=False),
-        lambda pair: pair.key,
+    ranked = F.transform(
+        parts,
+        lambda p: F.struct(
+            F.length(p.host) + F.length(p.path), F.length(p.host), F.concat(p.host, p.path).alias("key")
+        ),
     )
+    return F.transform(F.sort_array(ranked, asc=False), lambda r: r.key)
 
 
 def _bits_at(key: Column, level: int, bits: int) -> list[Column]:
