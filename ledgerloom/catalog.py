@@ -5,16 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.segments import CLUSTER_NAMES
 from ledgerloom.operators import ordered
 from ledgerloom.operators import orders as op
 from ledgerloom.plans import (
     clusters, demand, eda, etl, experiments, forecast, reports, rfm, scoring,
 )
-from ledgerloom.session import scratch_root, spool
+from ledgerloom.session import delete_at_exit, scratch_root, spool
 from ledgerloom.sources import benchmark_tables as bench
+from ledgerloom.sources import raw_files, tables
 from ledgerloom.streaming import requests as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,7 +91,7 @@ def rfm_base(spark, folder):
 
 @query
 def rfm_etl_scored(spark, folder):
-    return _rounded(rfm.score_by_quartiles(_rfm_base(spark, folder)), monetary=6)
+    return _rounded(rfm.score_by_quartiles(_rfm_base(spark, folder), ties="value"), monetary=6)
 
 
 @query
@@ -168,7 +170,7 @@ def q10_mom_growth(spark, folder):
 
 @query
 def q11_segment_summary(spark, folder):
-    return reports.segment_summary(rfm.score_by_quartiles(_rfm_base(spark, folder)))
+    return reports.segment_summary(rfm.score_by_quartiles(_rfm_base(spark, folder), ties="value"))
 
 
 @query
@@ -415,41 +417,61 @@ def revenue_histogram(spark, folder):
 
 @query
 def kpi_records(spark, folder):
-    table = experiments.metrics(_units(spark, folder)).select(
-        "variant", "users", "conversions", F.round("conversion_rate", 4).alias("conversion_rate")
+    """All metrics, stored as a table, read back as records. Money is rounded to whole units."""
+    rows = experiments.metrics(_units(spark, folder)).select(
+        "variant", "users", "conversions",
+        *[F.round(c).cast("bigint").alias(c) for c in ("total_revenue", "avg_revenue")],
+        F.round("conversion_rate", 4).alias("conversion_rate"),
+        F.round("revenue_per_user").cast("bigint").alias("revenue_per_user"),
     )
-    return experiments.kpi_records(table).drop("last_updated")
+    folder = f"{scratch_root(spark)}/kpi-{uuid.uuid4().hex}"
+    tables.write_table(rows, f"{folder}/ab_metrics")
+    delete_at_exit(spark, folder)
+    records = experiments.kpi_records(tables.read_table(spark, folder, "ab_metrics"))
+    return records.select("record", F.col("last_updated").isNotNull().alias("has_time"))
 
 
 # ---- models -------------------------------------------------------------------------------------------
+# Fits take minutes; the queries of a session share them.
 
-def _training(panel: demand.DemandPanel) -> forecast.DemandTraining:
-    """Fewer trees than the library's defaults, on all rows, so that a check run stays short."""
-    return forecast.train(panel, forecast.default_models(trees=20, boosts=10))
+_fits: dict[tuple, object] = {}
+
+
+def _shared_fit(kind: str, spark, folder, fit):
+    key = (kind, spark.sparkContext.applicationId, folder)
+    if key not in _fits:
+        _fits[key] = fit()
+    return _fits[key]
+
+
+def _training(spark, folder) -> tuple[demand.DemandPanel, forecast.DemandTraining]:
+    def fit():
+        panel = _panel(spark, folder)
+        return panel, forecast.train(panel)
+
+    return _shared_fit("demand", spark, folder, fit)
 
 
 @query
 def demand_leaderboard(spark, folder):
-    return _training(_panel(spark, folder)).leaderboard
+    return _training(spark, folder)[1].leaderboard
 
 
 @query
 def feature_importance(spark, folder):
-    trees = {
-        n: m for n, m in forecast.default_models(trees=20, boosts=10).items() if "Forest" in n
-    }
-    trained = forecast.train(_panel(spark, folder), trees, folds=2)
-    return forecast.feature_importance(trained.model, spark)
+    return forecast.feature_importance(_training(spark, folder)[1].model, spark)
 
 
 @query
 def demand_forecast(spark, folder):
-    panel = _panel(spark, folder)
-    return forecast.forecast(panel.features, _training(panel).model)
+    panel, trained = _training(spark, folder)
+    return forecast.forecast(panel.features, trained.model)
 
 
 def _clustering(spark, folder) -> clusters.Clustering:
-    return clusters.cluster_customers(_rfm_base(spark, folder), restarts=2)
+    return _shared_fit(
+        "clusters", spark, folder, lambda: clusters.cluster_customers(_rfm_base(spark, folder))
+    )
 
 
 @query
@@ -495,29 +517,45 @@ def _demand_requests(spark, folder) -> DataFrame:
 
 @query
 def request_validation(spark, folder):
-    states = [r[0] for r in distinct_states(spark, folder).collect()]
-    return scoring.validate_demand(_demand_requests(spark, folder), states)
+    encoder = demand.fit_state_encoder(distinct_states(spark, folder))
+    return scoring.validate_demand(_demand_requests(spark, folder), encoder)
+
+
+def _segment_requests(spark, folder) -> DataFrame:
+    """One request per customer as text fields, some missing and some unreadable."""
+    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    return bench.read_source(spark, folder, "customer").select(
+        key.alias("request_id"),
+        F.when(segment != "MACHINERY", (key % 90).cast("string")).alias("recency"),
+        F.when(segment == "BUILDING", "often").otherwise((key % 7 + 1).cast("string")).alias("frequency"),
+        F.when(key % 11 > 0, F.concat(key.cast("string"), F.lit(".5"))).alias("monetary"),
+    )
+
+
+@query
+def segment_request_validation(spark, folder):
+    return scoring.validate_segment(_segment_requests(spark, folder))
 
 
 @query
 def score_demand(spark, folder):
-    model = _training(_panel(spark, folder)).model
+    model = _training(spark, folder)[1].model
     return scoring.score_demand(_demand_requests(spark, folder), model, keep=["request_id"])
 
 
 @query
 def score_segment(spark, folder):
-    customers = spool(_rfm_base(spark, folder), "requests")
-    model = clusters.cluster_customers(customers, ks=[4], restarts=2).model
-    return scoring.score_segment(customers, model, keep=["customer_id"])
+    model = _clustering(spark, folder).model
+    return scoring.score_segment(_rfm_base(spark, folder), model, keep=["customer_id"])
 
 
 @query
 def score_segment_stream(spark, folder):
     """The customers as a stream of request files; the scores are read back from the sink."""
     place = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
-    customers = spool(_rfm_base(spark, folder), "requests")
-    model = clusters.cluster_customers(customers, ks=[4], restarts=2).model
+    delete_at_exit(spark, place)
+    model = _clustering(spark, folder).model
+    customers = _rfm_base(spark, folder)
     customers.write.parquet(f"{place}/in")
     incoming = stream.table_requests(spark, f"{place}/in", customers.schema)
     stream.start_scoring(
@@ -527,6 +565,105 @@ def score_segment_stream(spark, folder):
     return spark.read.parquet(f"{place}/out")
 
 
+# ---- whole jobs ---------------------------------------------------------------------------------------
+
+def _written_and_read(spark, df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    folder = f"{scratch_root(spark)}/job-{uuid.uuid4().hex}"
+    delete_at_exit(spark, folder)
+    tables.write_table(df, f"{folder}/{name}", fmt)
+    return tables.read_table(spark, folder, name, fmt, schema=df.schema)
+
+
+@query
+def customer_segments(spark, folder):
+    """Scores, rule segment, cluster, its name and advice per customer, written as CSV and read."""
+    clustered = _clustering(spark, folder).customers.select("customer_id", "cluster", "cluster_label")
+    scored = rfm.add_advice(rfm.score_by_rules(_rfm_base(spark, folder)))
+    return _written_and_read(spark, scored.join(clustered, "customer_id"), "customer_segments", "csv")
+
+
+@query
+def experiment_report(spark, folder):
+    """Metrics and decisions of the experiment in long form, written as CSV and read."""
+    units = _units(spark, folder)
+    tests = experiments.run_tests(units).select(
+        F.col("test").alias("section"), "control_value", "test_value", "lift_pct", "p_value", "decision"
+    )
+    return _written_and_read(spark, tests, "experiment_report", "csv")
+
+
+@query
+def raw_landing(spark, folder):
+    """Orders as raw text files, landed unchanged, read again and counted per status and month."""
+    orders = bench.orders(spark, folder)
+    place = f"{scratch_root(spark)}/raw-{uuid.uuid4().hex}"
+    delete_at_exit(spark, place)
+    texts = orders.select([F.col(c).cast("string") for c in orders.columns])
+    tables.write_export(texts, f"{place}/in/orders")
+    raw_files.land_raw(raw_files.scan_text(spark, f"{place}/in"), f"{place}/landed")
+    landed = raw_files.load_raw(spark, f"{place}/landed")["orders"]
+    month = F.date_format("order_purchase_timestamp", "yyyy-MM")
+    return landed.groupBy("order_status", month.alias("month")).agg(
+        F.count("*").alias("n"), F.count("order_delivered_customer_date").alias("delivered")
+    )
+
+
+@query
+def stored_master_by_month(spark, folder):
+    """The master table written by month, read back and counted."""
+    place = f"{scratch_root(spark)}/stored-{uuid.uuid4().hex}"
+    delete_at_exit(spark, place)
+    tables.write_processed({"master": _master(spark, folder)}, place)
+    master = tables.read_table(spark, place, "master")
+    return master.groupBy("year", "month").agg(
+        F.count("*").alias("n"), F.sum("is_late").cast("bigint").alias("late")
+    )
+
+
+# ---- fitted arithmetic with given numbers -------------------------------------------------------------
+
+@query
+def naive_forecast_metrics(spark, folder):
+    """Errors of the forecast that repeats the month before."""
+    features = _panel(spark, folder).features.withColumn("prediction", F.col("lag_1_orders"))
+    found = forecast.metric_columns(features)
+    return _rounded(found, mae=6, rmse=6, r2=6)
+
+
+@query
+def demand_folds(spark, folder):
+    folds = forecast.contiguous_folds(_panel(spark, folder).features)
+    return folds.groupBy("fold").agg(
+        F.count("*").alias("n"),
+        F.min(F.struct("customer_state", "year", "month")).alias("first"),
+    ).select("fold", "n", "first.*")
+
+
+@query
+def scaled_measures(spark, folder):
+    """Mean and population deviation that standardisation uses."""
+    measures = _rfm_base(spark, folder).unpivot(
+        [], [F.col(c).cast("double").alias(c) for c in clusters.MEASURES], "measure", "value"
+    )
+    return _rounded(
+        measures.groupBy("measure").agg(
+            F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation")
+        ),
+        mean=6, deviation=6,
+    )
+
+
+@query
+def rule_cluster_profile(spark, folder):
+    """Profile and spend order of clusters given by a rule on the key, named by mean spend."""
+    customers = _rfm_base(spark, folder).withColumn("cluster", (F.col("customer_id") % 4).cast("int"))
+    order = Window.orderBy("avg_monetary", "cluster")  # four rows
+    names = clusters.mean_spend(customers).withColumn("place", F.row_number().over(order))
+    label = F.element_at(F.array(*map(F.lit, CLUSTER_NAMES)), F.col("place"))
+    named = customers.join(names.select("cluster", label.alias("cluster_label")), "cluster")
+    return clusters.cluster_profile(named)
+
+
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Round columns, so that engines that add numbers in another order give equal tables."""
     return df.withColumns({c: F.round(c, d) for c, d in digits.items()})

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -27,35 +28,10 @@ def _log_beta_half(a: float) -> float:
     return 0.5 * math.log(math.pi) - step
 
 
-def _incomplete_beta(a: float, b: float, x: float, y: float, log_beta: float) -> float:
-    """Regularised incomplete beta I_x(a, b), by the continued fraction of DLMF 8.17.22.
-
-    ``y`` is 1 - x, passed in because it loses its digits when x is near 1.
-    """
-    if x <= 0.0:
-        return 0.0
-    if y <= 0.0:
-        return 1.0
-    if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - _incomplete_beta(b, a, y, x, log_beta)
-    tiny = 1e-300
-    numer, denom, fraction = 1.0, 0.0, 1.0
-    for step in range(20_000):
-        m = step // 2
-        if step == 0:
-            term = 1.0
-        elif step % 2 == 0:
-            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        else:
-            term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        denom = 1.0 / ((1.0 + term * denom) or tiny)
-        numer = (1.0 + term / numer) or tiny
-        fraction *= numer * denom
-        if step > 1 and abs(numer * denom - 1.0) < 1e-15:
-            break
-    log_x = math.log1p(-y) if y < 0.5 else math.log(x)
-    log_y = math.log1p(-x) if x < 0.5 else math.log(y)
-    return math.exp(a * log_x + b * log_y - log_beta) * (fraction - 1.0) / a
+# Points and weights of double-exponential quadrature over [0, inf).
+_AT = np.arange(-6.0, 6.0, 1 / 64)
+_POINTS = np.exp(np.pi / 2 * np.sinh(_AT))
+_WEIGHTS = np.pi / 2 * np.cosh(_AT) * _POINTS / 64
 
 
 def _normal_two_sided(z: pd.Series) -> pd.Series:
@@ -63,23 +39,24 @@ def _normal_two_sided(z: pd.Series) -> pd.Series:
 
 
 def _student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
+    """Integral of the density over both tails; the logarithm keeps its digits for any ``df``."""
+
     def tail(stat: float, dof: float) -> float | None:
         if pd.isna(stat) or pd.isna(dof):
             return None
-        square = stat * stat
-        if dof > 1e6:
-            # Normal approximation 26.7.8 of Abramowitz and Stegun; its error is of order 1/dof².
-            z = stat * (1.0 - 0.25 / dof) / math.sqrt(1.0 + square / (2.0 * dof))
-            return math.erfc(abs(z) / math.sqrt(2.0))
-        x, y = dof / (dof + square), square / (dof + square)
-        return _incomplete_beta(dof / 2.0, 0.5, x, y, _log_beta_half(dof / 2.0))
+        x = abs(stat) + _POINTS
+        # x² / dof without overflow of x².
+        log_density = -0.5 * (dof + 1) * np.log1p(x / dof * x)
+        constant = -_log_beta_half(dof / 2.0) - 0.5 * math.log(dof)
+        return min(1.0, 2 * float(_WEIGHTS @ np.exp(log_density + constant)))
 
     return pd.Series([tail(a, b) for a, b in zip(t, df)], dtype="float64")
 
 
-# The exact rank-sum distribution applies up to this smaller sample size, if no values are tied;
-# beyond this many pairs the normal approximation is used all the same.
-EXACT_SAMPLE, EXACT_PAIRS = 8, 2_000_000
+# By the automatic method, the exact rank-sum distribution applies up to this smaller sample size,
+# if no values are tied.
+EXACT_SAMPLE = 8
+RANK_METHODS = ("auto", "exact", "normal")
 
 
 def _rank_sum_exact(u: float, n1: int, n2: int) -> float:
@@ -89,34 +66,40 @@ def _rank_sum_exact(u: float, n1: int, n2: int) -> float:
     """
     small, large = sorted((int(n1), int(n2)))
     upto = int(n1 * n2 - max(u, n1 * n2 - u))
-    ways = [1] + [0] * upto
+    every = math.comb(small + large, small)
+    ways = np.zeros(upto + 1, dtype=np.int64 if every < 1 << 62 else object)
+    ways[0] = 1
     for i in range(1, small + 1):
-        for j in range(upto, large + i - 1, -1):
-            ways[j] -= ways[j - large - i]
-        for j in range(i, upto + 1):
-            ways[j] += ways[j - i]
-    return min(1.0, 2 * sum(ways) / math.comb(small + large, small))
+        if large + i <= upto:
+            ways[large + i:] -= ways[:upto + 1 - large - i].copy()
+        rows = -(-len(ways) // i)
+        padded = np.concatenate([ways, np.zeros(rows * i - len(ways), dtype=ways.dtype)])
+        ways = np.cumsum(padded.reshape(rows, i), axis=0).ravel()[:upto + 1]
+    return min(1.0, 2 * int(ways.sum()) / every)
+
+
+def rank_sum_two_sided(
+    u: Column, n1: Column, n2: Column, ties: Column, z: Column, method: str = "auto"
+) -> Column:
+    """Two-sided p of the Mann-Whitney U. ``exact`` and ``normal`` (by ``z``) apply to all rows;
+    ``auto`` is exact if one sample has at most eight values and none are tied."""
+    if method not in RANK_METHODS:
+        raise ValueError(f"unknown method: {method}")
 
-
-def _rank_sum_two_sided(
-    u: pd.Series, n1: pd.Series, n2: pd.Series, ties: pd.Series, z: pd.Series
-) -> pd.Series:
     def tail(stat: float, a: int, b: int, tied: float, normal: float) -> float | None:
         if not a or not b or pd.isna(stat):
             return None
-        if tied == 0 and min(a, b) <= EXACT_SAMPLE and a * b <= EXACT_PAIRS:
+        if method == "exact" or method == "auto" and tied == 0 and min(a, b) <= EXACT_SAMPLE:
             return _rank_sum_exact(stat, a, b)
         if pd.isna(normal):
             return None
         # The continuity correction can take the statistic below zero; the tail is then over 1/2.
         return 1.0 if normal <= 0 else math.erfc(normal / math.sqrt(2.0))
 
-    return pd.Series([tail(*row) for row in zip(u, n1, n2, ties, z)], dtype="float64")
-
+    def tails(u: pd.Series, n1: pd.Series, n2: pd.Series, ties: pd.Series, z: pd.Series) -> pd.Series:
+        return pd.Series([tail(*row) for row in zip(u, n1, n2, ties, z)], dtype="float64")
 
-def rank_sum_two_sided(u: Column, n1: Column, n2: Column, ties: Column, z: Column) -> Column:
-    """Two-sided p of the Mann-Whitney U: exact for a small tie-free sample, else by ``z``."""
-    return F.pandas_udf(_rank_sum_two_sided, "double")(u, n1, n2, ties, z)
+    return F.pandas_udf(tails, "double")(u, n1, n2, ties, z)
 
 
 def normal_two_sided(z: Column) -> Column:

@@ -25,11 +25,12 @@ def _bin_index(value: Column, low: Column, high: Column, bins: int) -> Column:
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Counts per bin between each group's minimum and maximum, empty bins included.
 
-    Returns the ``by`` columns, ``bin`` (0-based), ``bin_low``, ``bin_high`` and ``n``.
+    Returns the ``by`` columns, ``bin`` (0-based), ``bin_low``, ``bin_high`` and ``n``. Null and NaN
+    are left out.
     """
     by = list(by)
     x = F.col(value).cast("double")
-    present = df.where(x.isNotNull()).select(*by, x.alias("_x"))
+    present = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
     # A single distinct value gets a unit-wide range around it.
     limits = spool(
         present.groupBy(*by)

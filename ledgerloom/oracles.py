@@ -270,12 +270,12 @@ ORACLES: dict[str, str] = {
       round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct
       FROM orders_d GROUP BY order_status""",
     "q10_mom_growth": f"""WITH {_MASTER}, m AS (
-      SELECT year, month, round(sum(total_payment), 2) AS revenue FROM master
-      GROUP BY year, month)
-      SELECT year, month, revenue, lag(revenue) OVER (ORDER BY year, month) AS prev_month_revenue,
-        round(100.0 * (revenue - lag(revenue) OVER (ORDER BY year, month))
-          / nullif(lag(revenue) OVER (ORDER BY year, month), 0), 1) AS mom_growth_pct
-      FROM m""",
+      SELECT *, row_number() OVER (ORDER BY year, month) AS place FROM (
+        SELECT year, month, round(sum(total_payment), 2) AS revenue FROM master GROUP BY ALL))
+      SELECT now.year, now.month, now.revenue, past.revenue AS prev_month_revenue,
+        CASE WHEN past.revenue <> 0
+          THEN round((now.revenue / past.revenue - 1) * 100.0, 1) END AS mom_growth_pct
+      FROM m AS now LEFT JOIN m AS past ON past.place = now.place - 1""",
     "q11_segment_summary": f"""WITH {_RFM} SELECT segment, count(*) AS customers,
       round(avg(recency), 0) AS avg_recency_days, round(avg(frequency), 1) AS avg_orders,
       round(avg(monetary), 2) AS avg_spend, round(sum(monetary), 2) AS total_revenue,
@@ -285,14 +285,15 @@ ORACLES: dict[str, str] = {
       SELECT c_custkey AS customer_id,
         CASE WHEN c_custkey % 2 = 0 THEN 'control' ELSE 'test' END AS variant
       FROM customer WHERE c_custkey % 5 <> 0)
-      SELECT e.variant, count(DISTINCT m.customer_id) AS users,
-        count(DISTINCT m.order_id) AS orders,
-        round(count(DISTINCT m.order_id) * CAST(1.0 AS DOUBLE)
-          / count(DISTINCT m.customer_id), 4) AS conversion_rate,
-        round(sum(total_payment), 2) AS total_revenue,
-        round(avg(total_payment), 2) AS avg_order_value,
-        round(sum(total_payment) / count(DISTINCT m.customer_id), 2) AS revenue_per_user
-      FROM master m JOIN assigned e ON m.customer_id = e.customer_id GROUP BY e.variant""",
+      , spent AS (
+      SELECT customer_id, count(*) AS bought, count(total_payment) AS paid,
+        sum(total_payment) AS money FROM master GROUP BY customer_id), sums AS (
+      SELECT variant, count(*) AS users, CAST(sum(bought) AS BIGINT) AS orders,
+        sum(money) AS money, sum(paid) AS paid
+      FROM assigned JOIN spent USING (customer_id) GROUP BY variant)
+      SELECT variant, users, orders, round(CAST(orders AS DOUBLE) / users, 4) AS conversion_rate,
+        round(money, 2) AS total_revenue, round(money / paid, 2) AS avg_order_value,
+        round(money / users, 2) AS revenue_per_user FROM sums""",
     "shape_profile": """SELECT 'orders' AS table_name, count(*) AS n_rows, 8 AS n_cols FROM orders
       UNION ALL SELECT 'order_items', count(*), 4 FROM lineitem
       UNION ALL SELECT 'order_payments', count(*), 4 FROM lineitem
@@ -348,11 +349,10 @@ ORACLES: dict[str, str] = {
       round_even(100.0 * count(*) FILTER (review_score = 5) / count(*), 1) AS five_star_pct
       FROM reviews""",
     "late_by_review_crosstab": f"""WITH {_DELIVERED_ANY}, {_REVIEWS}
-      SELECT CASE WHEN is_late = 1 THEN 'Late' ELSE 'On-Time' END AS delivery,
-        count(*) FILTER (review_score = 1) AS score_1, count(*) FILTER (review_score = 2) AS score_2,
-        count(*) FILTER (review_score = 3) AS score_3, count(*) FILTER (review_score = 4) AS score_4,
-        count(*) FILTER (review_score = 5) AS score_5
-      FROM delivered_any JOIN reviews USING (order_id) GROUP BY is_late""",
+      SELECT CASE WHEN is_late = 1 THEN 'Late' ELSE 'On-Time' END AS delivery, review_score,
+        count(*) AS n
+      FROM delivered_any JOIN reviews USING (order_id) WHERE review_score IS NOT NULL
+      GROUP BY is_late, review_score""",
     "state_stats": f"""WITH {_PAID}, {_CUSTOMERS} SELECT customer_state,
       count(order_id) AS orders, round(coalesce(sum(total_payment), 0), 4) AS revenue,
       round(avg(delivery_days), 6) AS avg_delivery,
@@ -465,11 +465,13 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (variant = 'test') AS n_test,
         sum(converted) FILTER (variant = 'control') / count(*) FILTER (variant = 'control') AS p1
       FROM units GROUP BY day), r AS (
-      SELECT *, CAST(ceil((1.959963984540054 * sqrt(2 * (p1 + 0.01) * (1 - p1 - 0.01))
+      SELECT *, CASE WHEN p1 > 0 AND p1 + 0.02 < 1 THEN
+        CAST(ceil((1.959963984540054 * sqrt(2 * (p1 + 0.01) * (1 - p1 - 0.01))
         + 0.8416212335729143 * sqrt(p1 * (1 - p1) + (p1 + 0.02) * (1 - p1 - 0.02))) ** 2
-        / (0.02 * 0.02)) AS BIGINT) AS required_n FROM s)
+        / (0.02 * 0.02)) AS BIGINT) END AS required_n FROM s)
       SELECT day, n_control, n_test, round(p1, 6) AS control_cvr, required_n,
-        CAST(least(n_control, n_test) >= required_n AS INTEGER) AS enough FROM r""",
+        CASE WHEN n_control > 0 AND n_test > 0
+          THEN CAST(least(n_control, n_test) >= required_n AS INTEGER) END AS enough FROM r""",
     "revenue_p99": f"""WITH {_UNITS} SELECT variant, count(revenue) AS n,
       round(quantile_cont(revenue, 0.99), 6) AS p99 FROM units GROUP BY variant""",
     "revenue_histogram": f"""WITH {_UNITS}, c AS (
@@ -482,10 +484,15 @@ ORACLES: dict[str, str] = {
       FROM bars""",
     "kpi_records": f"""WITH {_UNITS}, m AS (
       SELECT variant, count(user_id) AS users, CAST(sum(converted) AS BIGINT) AS conversions,
-        round(sum(converted) / count(user_id), 4) AS conversion_rate
+        CAST(round(sum(revenue)) AS BIGINT) AS total_revenue,
+        CAST(round(avg(revenue)) AS BIGINT) AS avg_revenue,
+        round(sum(converted) / count(user_id), 4) AS conversion_rate,
+        CAST(round(sum(revenue) / count(user_id)) AS BIGINT) AS revenue_per_user
       FROM units GROUP BY variant)
       SELECT CAST(to_json(struct_pack(variant := variant, users := users,
-        conversions := conversions, conversion_rate := conversion_rate)) AS VARCHAR) AS record
+        conversions := conversions, total_revenue := total_revenue, avg_revenue := avg_revenue,
+        conversion_rate := conversion_rate, revenue_per_user := revenue_per_user)) AS VARCHAR)
+        AS record, true AS has_time
       FROM m""",
     "request_validation": f"""WITH {_CUSTOMERS}, requests AS (
       SELECT c_custkey AS request_id,
@@ -536,3 +543,52 @@ ORACLES["ab_daily_mannwhitney"] = _mann_whitney("day")
 ORACLES["q08_top_customers_approx"] = ORACLES["q08_top_customers"].replace(
     "quantile_cont(total_spend", "quantile_disc(total_spend"
 )
+
+ORACLES["segment_request_validation"] = """WITH requests AS (
+  SELECT c_custkey AS request_id,
+    CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_custkey % 90 AS VARCHAR) END AS recency,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'often' ELSE CAST(c_custkey % 7 + 1 AS VARCHAR) END
+      AS frequency,
+    CASE WHEN c_custkey % 11 > 0 THEN CAST(c_custkey AS VARCHAR) || '.5' END AS monetary
+  FROM customer)
+  SELECT *, CASE WHEN recency IS NULL THEN 'Missing field: recency'
+    WHEN monetary IS NULL THEN 'Missing field: monetary'
+    WHEN TRY_CAST(frequency AS DOUBLE) IS NULL THEN 'Invalid field: frequency' END AS error
+  FROM requests"""
+
+ORACLES["raw_landing"] = f"""WITH {_ORDERS}
+  SELECT order_status, strftime(order_purchase_timestamp, '%Y-%m') AS month, count(*) AS n,
+    count(order_delivered_customer_date) AS delivered
+  FROM orders_d GROUP BY ALL"""
+
+ORACLES["stored_master_by_month"] = f"""WITH {_MASTER}
+  SELECT year, month, count(*) AS n, CAST(sum(is_late) AS BIGINT) AS late FROM master GROUP BY ALL"""
+
+ORACLES["naive_forecast_metrics"] = f"""WITH {_PANEL}
+  SELECT round(avg(abs(order_count - lag_1_orders)), 6) AS mae,
+    round(sqrt(avg((order_count - lag_1_orders) ** 2)), 6) AS rmse,
+    round(1 - sum((order_count - lag_1_orders) ** 2)
+      / (var_pop(order_count) * count(*)), 6) AS r2 FROM panel"""
+
+ORACLES["demand_folds"] = f"""WITH {_PANEL}, placed AS (
+  SELECT customer_state, year, month,
+    CAST(ntile(5) OVER (ORDER BY customer_state, year, month) - 1 AS INTEGER) AS fold FROM panel)
+  SELECT fold, count(*) AS n, min_by(customer_state, (customer_state, year, month)) AS customer_state,
+    min_by(year, (customer_state, year, month)) AS year,
+    min_by(month, (customer_state, year, month)) AS month FROM placed GROUP BY fold"""
+
+ORACLES["scaled_measures"] = f"""WITH {_RFM}, long AS (
+  SELECT 'recency' AS measure, CAST(recency AS DOUBLE) AS value FROM rfm UNION ALL
+  SELECT 'frequency', CAST(frequency AS DOUBLE) FROM rfm UNION ALL
+  SELECT 'monetary', monetary FROM rfm)
+  SELECT measure, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS deviation
+  FROM long GROUP BY measure"""
+
+ORACLES["rule_cluster_profile"] = f"""WITH {_RFM}, clustered AS (
+  SELECT *, customer_id % 4 AS cluster FROM rfm), named AS (
+  SELECT cluster, ['Hibernating', 'Promising', 'Loyal', 'Champions'][
+    row_number() OVER (ORDER BY avg(monetary), cluster)] AS cluster_label
+  FROM clustered GROUP BY cluster)
+  SELECT cluster_label, count(customer_id) AS customers, round_even(avg(recency), 1) AS avg_recency,
+    round_even(avg(frequency), 1) AS avg_frequency, round_even(avg(monetary), 1) AS avg_monetary
+  FROM clustered JOIN named USING (cluster) GROUP BY cluster_label"""

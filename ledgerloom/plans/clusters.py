@@ -67,6 +67,7 @@ def cluster_customers(
     restarts: int = 10,
     seed: int = 42,
     parallelism: int = 4,
+    max_iterations: int = 300,
 ) -> Clustering:
     """Try each ``k`` with several starts, keep the one with the best silhouette, name clusters.
 
@@ -89,7 +90,8 @@ def cluster_customers(
 
     def fit(k: int, restart: int):
         return KMeans(
-            k=k, seed=seed + restart, featuresCol="scaled", predictionCol="cluster"
+            k=k, seed=seed + restart, maxIter=max_iterations, featuresCol="scaled",
+            predictionCol="cluster",
         ).fit(scaled)
 
     ks = list(ks)

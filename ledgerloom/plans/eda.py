@@ -22,8 +22,6 @@ from ledgerloom.operators import orders as op
 from ledgerloom.operators.histogram import histogram
 from ledgerloom.plans.rfm import rfm_base
 from ledgerloom.session import spool
-
-REVIEW_SCORES = (1, 2, 3, 4, 5)
 # Fixed value: months from this day on are incomplete in the public data set.
 INCOMPLETE_FROM = dt.date(2018, 9, 1)
 
@@ -214,26 +212,25 @@ def review_overview(reviews: DataFrame) -> DataFrame:
     )
 
 
-def late_by_review(
-    orders: DataFrame, reviews: DataFrame, scores: Sequence[int] = REVIEW_SCORES
-) -> DataFrame:
-    """Review counts by delivery outcome, each review of a delivered order counted.
+def late_by_review(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Review counts by delivery outcome and score, each review of a delivered order counted and
+    every score that occurs included; one row per outcome and score.
 
     Reviews are counted per order and score before the join, so an order with very many reviews
-    is one row there, and the join reuses the partitioning of that aggregation.
+    is a few rows there.
     """
-    names = [f"score_{s}" for s in scores]
     per_order = (
-        reviews.where(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(*[F.count_if(F.col("review_score") == s).alias(n) for s, n in zip(scores, names)])
+        reviews.where(F.col("order_id").isNotNull() & F.col("review_score").isNotNull())
+        .groupBy("order_id", "review_score").agg(F.count("*").alias("_n"))
     )
     return (
         delivered_only(orders)
         .select("order_id", "is_late")
         .join(per_order, "order_id")
-        .groupBy(F.when(F.col("is_late") == 1, "Late").otherwise("On-Time").alias("delivery"))
-        .agg(*[F.sum(n).alias(n) for n in names])
+        .groupBy(
+            F.when(F.col("is_late") == 1, "Late").otherwise("On-Time").alias("delivery"), "review_score"
+        )
+        .agg(F.sum("_n").alias("n"))
     )
 
 

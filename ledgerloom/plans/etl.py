@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import orders as op
-from ledgerloom.plans import rfm
 
 def build_master(tables: Mapping[str, DataFrame], with_customers: bool = True) -> DataFrame:
     """One row per delivered order with item, payment, review and customer columns.
@@ -51,17 +50,3 @@ def snapshot_time(orders: DataFrame) -> Column:
         op.delivered_orders(orders).agg(F.max("order_purchase_timestamp").alias("t")).scalar()
     )
 
-
-def build_processed(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The five processed tables. ``rfm`` reuses the lazily built master."""
-    master = build_master(tables)
-    spend = build_master(tables, with_customers=False)
-    return {
-        "master": master,
-        "rfm": rfm.score_by_quartiles(
-            rfm.rfm_base(spend, snapshot=snapshot_time(tables["orders"]))
-        ),
-        "orders": op.delivered_orders(tables["orders"]),
-        "items": op.item_totals(tables["order_items"]),
-        "payments": op.payments_per_order(tables["order_payments"]),
-    }

@@ -27,7 +27,19 @@ from ledgerloom.session import spool
 
 ALPHA = 0.05
 
-_REJECT, _KEEP = "REJECT H₀", "FAIL TO REJECT H₀"
+# The decision texts, significant and not, and the titles of the tests.
+PLAIN_DECISION = ("REJECT H₀", "FAIL TO REJECT H₀")
+CONVERSION_DECISION = (
+    "REJECT H₀ — significant difference",
+    "FAIL TO REJECT H₀ — no significant difference",
+)
+REVENUE_DECISION = (
+    "REJECT H₀ — significant revenue difference",
+    "FAIL TO REJECT H₀ — no significant revenue difference",
+)
+CONVERSION_TITLE = "Z-test (conversion rate)"
+REVENUE_TITLE = "Welch t-test (revenue per user)"
+PAGES_TITLE = "Mann-Whitney U (session pages)"
 
 
 def population(control: DataFrame, test: DataFrame) -> DataFrame:
@@ -60,18 +72,22 @@ def _in(variant: str, value: Column) -> Column:
     return F.when(F.col("variant") == variant, value)
 
 
-def _decision(reason: str = "") -> list[Column]:
+def _decision(texts: tuple[str, str], both: Column) -> list[Column]:
+    """p-value, whether it is significant, and the decision: null unless ``both`` variants have
+    rows."""
     significant = F.col("p_value") < ALPHA
-    tail = f" — {{}}significant {reason}" if reason else ""
+    reject, keep = texts
     return [
         even_round(F.col("p_value"), 6).alias("p_value"),
         significant.alias("significant"),
-        F.when(significant, _REJECT + tail.format(""))
-        .otherwise(_KEEP + tail.format("no "))
-        .alias("decision"),
+        F.when(both, F.when(significant, reject).otherwise(keep)).alias("decision"),
     ]
 
 
+def _both() -> Column:
+    return (F.col("n_control") > 0) & (F.col("n_test") > 0)
+
+
 def _conversion_sums() -> list[Column]:
     return [
         column
@@ -126,7 +142,7 @@ def _conversion_test(sums: DataFrame, by: Sequence[str]) -> DataFrame:
             even_round(F.col("test_cvr"), 4).alias("test_cvr"),
             even_round(F.col("lift_pct"), 2).alias("lift_pct"),
             even_round(F.col("z_stat"), 4).alias("z_stat"),
-            *_decision("difference"),
+            *_decision(CONVERSION_DECISION, _both()),
         )
     )
 
@@ -174,7 +190,7 @@ def _revenue_test(sums: DataFrame, by: Sequence[str]) -> DataFrame:
             even_round(F.col("test_avg"), 2).alias("test_avg"),
             even_round(F.col("lift_pct"), 2).alias("lift_pct"),
             even_round(F.col("t_stat"), 4).alias("t_stat"),
-            *_decision("revenue difference"),
+            *_decision(REVENUE_DECISION, _both()),
         )
     )
 
@@ -232,10 +248,11 @@ def pages_stats(units: DataFrame, by: Sequence[str] = (), value: str = "session_
     )
 
 
-def pages_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Two-sided Mann-Whitney test: the exact distribution when one sample is tiny and no value
-    is tied, else the normal approximation with continuity correction, capped at one."""
-    p = rank_sum_two_sided(*map(F.col, ("u_stat", "n_control", "n_test", "tie_sum", "z_stat")))
+def pages_test(units: DataFrame, by: Sequence[str] = (), method: str = "auto") -> DataFrame:
+    """Two-sided Mann-Whitney test. ``method``: ``exact``, ``normal`` (with continuity correction,
+    capped at one), or ``auto``: exact when one sample is tiny and no value is tied."""
+    inputs = map(F.col, ("u_stat", "n_control", "n_test", "tie_sum", "z_stat"))
+    p = rank_sum_two_sided(*inputs, method=method)
     return (
         pages_stats(units, by)
         .withColumn("p_value", p)
@@ -244,7 +261,7 @@ def pages_test(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             "control_median",
             "test_median",
             even_round(F.col("u_stat"), 2).alias("u_stat"),
-            *_decision(),
+            *_decision(PLAIN_DECISION, _both()),
         )
     )
 
@@ -257,11 +274,9 @@ def run_tests(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
     sums = spool(units.groupBy(*by).agg(*_conversion_sums(), *_revenue_sums()), "moments")
     results = [
-        (_conversion_test(sums, by), "Z-test (conversion rate)", "control_cvr", "test_cvr", "z_stat"),
-        (_revenue_test(sums, by), "Welch t-test (revenue per user)", "control_avg", "test_avg",
-         "t_stat"),
-        (pages_test(units, by), "Mann-Whitney U (session pages)", "control_median", "test_median",
-         "u_stat"),
+        (_conversion_test(sums, by), CONVERSION_TITLE, "control_cvr", "test_cvr", "z_stat"),
+        (_revenue_test(sums, by), REVENUE_TITLE, "control_avg", "test_avg", "t_stat"),
+        (pages_test(units, by), PAGES_TITLE, "control_median", "test_median", "u_stat"),
     ]
     tables = []
     for result, title, control, test, statistic in results:
@@ -285,7 +300,8 @@ def run_tests(units: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def required_sample_size(
     baseline: Column, effect: float = 0.02, alpha: float = ALPHA, power: float = 0.8
 ) -> Column:
-    """Units per variant needed to detect an absolute change of ``effect`` in a rate."""
+    """Units per variant needed to detect an absolute change of ``effect`` in a rate; null if the
+    rate or the changed rate is not strictly between 0 and 1."""
     z_alpha = NormalDist().inv_cdf(1 - alpha / 2)
     z_beta = NormalDist().inv_cdf(power)
     changed = baseline + effect
@@ -293,7 +309,8 @@ def required_sample_size(
     root = z_alpha * F.sqrt(2 * mean * (1 - mean)) + z_beta * F.sqrt(
         baseline * (1 - baseline) + changed * (1 - changed)
     )
-    return F.ceil(root * root / (effect * effect))
+    possible = (baseline > 0) & (changed > 0) & (baseline < 1) & (changed < 1)
+    return F.when(possible, F.ceil(root * root / (effect * effect)))
 
 
 def power_check(
@@ -303,13 +320,15 @@ def power_check(
     alpha: float = ALPHA,
     power: float = 0.8,
 ) -> DataFrame:
-    """Observed against required units per variant, from each experiment's control rate."""
+    """Observed against required units per variant, from each experiment's control rate. No answer
+    if a variant is absent or no number is required."""
     required = required_sample_size(F.col("control_cvr"), effect, alpha, power)
     return (
         conversion_stats(units, by)
         .select(*by, "n_control", "n_test", "control_cvr", required.alias("required_n"))
         .withColumn(
-            "enough", (F.least("n_control", "n_test") >= F.col("required_n")).cast("int")
+            "enough",
+            F.when(_both(), (F.least("n_control", "n_test") >= F.col("required_n")).cast("int")),
         )
     )
 
@@ -317,7 +336,7 @@ def power_check(
 def revenue_histogram(units: DataFrame, bins: int = 50, share: float = 0.99) -> DataFrame:
     """Revenue distribution per variant, clipped at each variant's own exact percentile.
 
-    The limits are spooled: one row per variant of known size, which Spark then broadcasts.
+    The limits, one per variant, enter as a map, so that the units are not joined on two keys.
     """
     limits = spool(
         ordered.quantiles(units, "revenue", [share], by=["variant"]).select(
@@ -325,10 +344,11 @@ def revenue_histogram(units: DataFrame, bins: int = 50, share: float = 0.99) ->
         ),
         "limits",
     )
-    clipped = (
-        units.select("variant", "revenue")
-        .join(limits, "variant")
-        .select("variant", clip_above(F.col("revenue"), F.col("limit")).alias("revenue"))
+    by_variant = limits.agg(
+        F.map_from_entries(F.collect_list(F.struct("variant", "limit"))).alias("limits")
+    ).scalar()
+    clipped = units.where(F.col("variant").isNotNull()).select(
+        "variant", clip_above(F.col("revenue"), F.try_element_at(by_variant, F.col("variant"))).alias("revenue")
     )
     return histogram(clipped, "revenue", bins, by=["variant"])
 

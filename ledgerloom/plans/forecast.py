@@ -22,15 +22,20 @@ from ledgerloom.session import spool
 _KEY = ["customer_state", "year", "month"]
 
 
-def default_models(trees: int = 200, boosts: int = 200, seed: int = 42) -> dict[str, Estimator]:
+def default_models(
+    trees: int = 200, boosts: int = 200, seed: int = 42, max_bins: int = 64
+) -> dict[str, Estimator]:
+    """The three models; every tree may split on any input. ``max_bins`` bounds the split points
+    tried per input."""
     columns = {"featuresCol": "features", "labelCol": TARGET}
     return {
         "Linear Regression": LinearRegression(**columns),
         "Random Forest": RandomForestRegressor(
-            numTrees=trees, maxDepth=10, seed=seed, maxBins=64, **columns
+            numTrees=trees, maxDepth=10, seed=seed, maxBins=max_bins, featureSubsetStrategy="all",
+            **columns,
         ),
         "Gradient Boosting": GBTRegressor(
-            maxIter=boosts, maxDepth=5, stepSize=0.05, seed=seed, maxBins=64, **columns
+            maxIter=boosts, maxDepth=5, stepSize=0.05, seed=seed, maxBins=max_bins, **columns
         ),
     }
 
@@ -52,19 +57,22 @@ def contiguous_folds(features: DataFrame, folds: int = 5) -> DataFrame:
     fold = F.when(index < boundary, F.floor(index / (size + 1))).otherwise(
         longer + F.floor((index - boundary) / max(size, 1))
     )
-    numbered = row_numbers(features, _KEY, "_row", rows)
+    numbered = row_numbers(features, _KEY, "_row")
     return numbered.withColumn("fold", fold.cast("int")).drop("_row")
 
 
-def regression_metrics(scored: DataFrame, label: str = TARGET) -> dict[str, float]:
+def metric_columns(scored: DataFrame, label: str = TARGET) -> DataFrame:
     """Mean absolute error, root mean squared error and R² from one aggregation pass."""
     error = F.col(label) - F.col("prediction")
-    row = scored.agg(
+    return scored.agg(
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         (1 - F.try_divide(F.sum(error * error), F.var_pop(label) * F.count(label))).alias("r2"),
-    ).first()
-    return row.asDict()
+    )
+
+
+def regression_metrics(scored: DataFrame, label: str = TARGET) -> dict[str, float]:
+    return metric_columns(scored, label).first().asDict()
 
 
 @dataclass

@@ -57,14 +57,10 @@ def _quartile_edges(base: DataFrame, columns: list[str]) -> dict[str, list[float
     return {r["feature"]: list(r["quantiles"]) for r in rows}
 
 
-def _distinct(edges: list[float]) -> bool:
-    return len(set(edges)) == len(edges)
-
-
 def _inner(edges: dict[str, list[float]], column: str) -> list[float]:
     """The three inner edges; coinciding edges leave a score undefined."""
     found = edges.get(column, [])
-    if not _distinct(found):
+    if len(set(found)) < len(found):
         raise ValueError(f"quartile edges of {column} are not unique: {found}")
     return found[1:-1]
 
@@ -75,30 +71,26 @@ def _rank_score(base: DataFrame, customer_col: str) -> Column:
 
 
 def score_by_quartiles(
-    base: DataFrame, ties: str = "value_or_rank", customer_col: str = "customer_id"
+    base: DataFrame, ties: str, customer_col: str = "customer_id"
 ) -> DataFrame:
     """Quartile scores per dimension, their sum and the three-way interval segment.
 
     ``ties`` says how frequency is scored. ``value``: quartiles of the count, an error if many
     equal counts make two edges coincide. ``rank``: quartiles of the rank, ties by customer.
-    ``value_or_rank``: the first where it is defined, else the second.
 
     The customer table is spooled: quartile edges and scores must come from the same sums.
     """
-    if ties not in ("value", "rank", "value_or_rank"):
+    if ties not in ("value", "rank"):
         raise ValueError(f"unknown ties policy: {ties}")
     base = spool(base, "rfm")
     edges = _quartile_edges(base, ["recency", "frequency", "monetary"])
-    by_rank = ties == "rank" or (
-        ties == "value_or_rank" and not _distinct(edges.get("frequency", []))
-    )
     scored = base.withColumns(
         {
             "recency_score": ordered.quantile_score(
                 "recency", _inner(edges, "recency"), best_low=True
             ),
             "frequency_score": _rank_score(base, customer_col)
-            if by_rank
+            if ties == "rank"
             else ordered.quantile_score("frequency", _inner(edges, "frequency")),
             "monetary_score": ordered.quantile_score("monetary", _inner(edges, "monetary")),
         }

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ DEMAND_DEFAULTS = {
     "num_customers": 400.0,
 }
 
+_OPTIONAL_KINDS = {f: "int" if f == "num_customers" else "double" for f in DEMAND_DEFAULTS}
+
 # Fixed value: the note that accompanies a demand prediction.
 DEMAND_NOTE = "Based on Random Forest / Gradient Boosting model"
 
@@ -46,7 +49,12 @@ def parse_requests(df: DataFrame, column: str, fields: Sequence[str]) -> DataFra
 
 
 def _field(df: DataFrame, name: str, kind: str) -> Column:
-    return F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
+    """The field as ``kind``, null if absent or unreadable. Whole numbers may be written with a
+    point (``3.0``) and are cut."""
+    if name not in df.columns:
+        return F.lit(None).cast(kind)
+    value = F.col(name)
+    return value.try_cast("double").try_cast(kind) if kind == "int" else value.try_cast(kind)
 
 
 def _field_errors(df: DataFrame, fields: Sequence[str], kinds: dict[str, str]) -> list[Column]:
@@ -62,13 +70,28 @@ def _field_errors(df: DataFrame, fields: Sequence[str], kinds: dict[str, str]) -
     return missing + unreadable
 
 
-def validate_demand(requests: DataFrame, states: Sequence[str]) -> DataFrame:
-    """Adds ``error``: required fields present and readable, state among the trained ones."""
+def validate_demand(requests: DataFrame, encoder: StringIndexerModel) -> DataFrame:
+    """Adds ``error``: required fields present and readable, state among those the encoder was
+    trained on, optional fields absent or readable."""
     state = _field(requests, "state", "string")
-    unknown = F.when(~state.isin(list(states)), F.concat(F.lit("Unknown state: "), state))
+    coded = encoder.copy().setInputCol("_state").setOutputCol("_code").setHandleInvalid("keep")
+    # An unknown or missing state gets the code behind the last one.
+    checked = coded.transform(requests.withColumn("_state", state))
+    unknown = F.when(
+        F.col("_code") >= len(encoder.labels), F.concat(F.lit("Unknown state: "), F.col("_state"))
+    )
     checks = _field_errors(requests, DEMAND_REQUIRED, {"month": "int", "year": "int"})
     missing, unreadable = checks[: len(DEMAND_REQUIRED)], checks[len(DEMAND_REQUIRED) :]
-    return requests.withColumn("error", F.coalesce(*missing, unknown, *unreadable))
+    optional = [
+        F.when(
+            _field(requests, f, "string").isNotNull() & _field(requests, f, kind).isNull(),
+            F.lit(f"Invalid field: {f}"),
+        )
+        for f, kind in _OPTIONAL_KINDS.items()
+    ]
+    return checked.withColumn("error", F.coalesce(*missing, unknown, *unreadable, *optional)).drop(
+        "_state", "_code"
+    )
 
 
 def validate_segment(requests: DataFrame) -> DataFrame:
@@ -77,15 +100,11 @@ def validate_segment(requests: DataFrame) -> DataFrame:
     return requests.withColumn("error", F.coalesce(*checks))
 
 
-def known_states(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].labels)
-
-
 def score_demand(
     requests: DataFrame, model: PipelineModel, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Predicted orders per request; ``keep`` names request columns to carry along."""
-    checked = validate_demand(requests, known_states(model))
+    checked = validate_demand(requests, model.stages[0])
     month = F.coalesce(_field(requests, "month", "int"), F.lit(1))
     inputs = checked.select(
         *keep,
@@ -97,7 +116,7 @@ def score_demand(
         month.alias("month"),
         *[c.alias(name) for name, c in dates.season_columns(month).items()],
         *[
-            F.coalesce(_field(requests, f, "double"), F.lit(default)).alias(f)
+            F.coalesce(_field(requests, f, _OPTIONAL_KINDS[f]).cast("double"), F.lit(default)).alias(f)
             for f, default in DEMAND_DEFAULTS.items()
         ],
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -20,7 +22,8 @@ RUNTIME_SETTINGS = {
 }
 
 
-_spooled: list[str] = []
+# Paths of spooled tables by application.
+_spooled: dict[str, list[str]] = {}
 
 
 def build_session(
@@ -45,7 +48,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="ledgerloom-")
     context.setCheckpointDir(root)
@@ -64,27 +67,40 @@ def spool(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    files, hadoop_path = _hadoop(spark, path)
-    files.deleteOnExit(hadoop_path)
-    _spooled.append(path)
+    delete_at_exit(spark, path)
+    _spooled.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_spools(spark: SparkSession) -> int:
-    """Delete the spooled tables written so far and return their number. For long-running
-    drivers, between queries: DataFrames built on those tables can no longer be read."""
-    paths = [_spooled.pop() for _ in range(len(_spooled))]
+def clear_spools(spark: SparkSession, after: int = 0) -> int:
+    """Delete this application's spooled tables but the first ``after`` and return their number.
+    DataFrames built on those tables can no longer be read."""
+    mine = _spooled.get(spark.sparkContext.applicationId, [])
+    paths = mine[after:]
+    del mine[after:]
     for path in paths:
-        files, hadoop_path = _hadoop(spark, path)
-        files.delete(hadoop_path, True)
+        files, place = hadoop_path(spark, path)
+        files.delete(place, True)
     return len(paths)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(configuration), hadoop_path
+@contextlib.contextmanager
+def spools(spark: SparkSession):
+    """Delete on leaving what was spooled inside; results must have been written by then."""
+    before = len(_spooled.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        clear_spools(spark, before)
+
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    files, place = hadoop_path(spark, path)
+    files.deleteOnExit(place)
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    return place.getFileSystem(configuration), place

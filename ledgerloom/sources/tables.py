@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.operators import orders as op
 from ledgerloom.plans import etl, rfm
@@ -33,10 +34,16 @@ def write_table(
     out.save(path)
 
 
-def read_table(spark: SparkSession, folder: str, name: str, fmt: str = "parquet") -> DataFrame:
+def read_table(
+    spark: SparkSession, folder: str, name: str, fmt: str = "parquet",
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """A stored table. CSV files carry no types: give their ``schema``, or get text columns."""
     reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("inferSchema", True)
+        reader = reader.option("header", True).option("escape", '"')
     return reader.load(f"{folder}/{name}")
 
 
@@ -49,9 +56,10 @@ def write_processed(
 
 
 def run_etl(
-    spark: SparkSession, tables: Mapping[str, DataFrame], folder: str
+    spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, ties: str = "value"
 ) -> dict[str, DataFrame]:
-    """Build and store the five processed tables and return them read back.
+    """Build and store the five processed tables and return them read back. ``ties``: how the
+    customer scores treat equal order counts.
 
     The joins run once: the customer scores are computed from the stored master table. The
     other tables do not depend on it and are written at the same time, as separate Spark jobs
@@ -61,7 +69,7 @@ def run_etl(
     def customers_after_master() -> None:
         write_processed({"master": etl.build_master(tables)}, folder)
         master = read_table(spark, folder, "master")
-        write_processed({"rfm": rfm.score_by_quartiles(rfm.rfm_base(master))}, folder)
+        write_processed({"rfm": rfm.score_by_quartiles(rfm.rfm_base(master), ties)}, folder)
 
     others = {
         "orders": op.delivered_orders(tables["orders"]),
@@ -99,7 +107,12 @@ def save_tables(
     for name, df in tables.items():
         writer = df.write.mode("overwrite").format("parquet")
         if buckets and "order_id" in df.columns:
+            # A bucketed table is read by order; its files are not also split by month.
             writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
+        elif set(PARTITION_COLUMNS.get(name, [])) & set(df.columns):
+            months = PARTITION_COLUMNS[name]
+            rebalanced = df.hint("rebalance", *[F.col(c) for c in months])
+            writer = rebalanced.write.mode("overwrite").format("parquet").partitionBy(*months)
         writer.saveAsTable(f"{database}.{name}")
 
 

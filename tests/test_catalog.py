@@ -11,7 +11,7 @@ from ledgerloom.oracles import ORACLES
 
 # Results that no SQL text describes: fitted models, their scores and tail probabilities.
 WITHOUT_SQL = {
-    "ab_tests", "cluster_profile", "cluster_selection", "customer_clusters", "demand_forecast",
+    "ab_tests", "cluster_profile", "customer_segments", "experiment_report", "cluster_selection", "customer_clusters", "demand_forecast",
     "demand_leaderboard", "feature_importance", "score_demand", "score_segment",
     "score_segment_stream",
 }

@@ -200,10 +200,20 @@ def test_weekdays_without_orders_stay(shop):
 
 
 def test_crosstab_counts_every_review(shop):
-    got = by_key(eda.late_by_review(shop["orders"], shop["order_reviews"]), "delivery")
-    assert (got["Late"]["score_4"], got["Late"]["score_5"]) == (1, 1)
-    assert (got["On-Time"]["score_1"], got["On-Time"]["score_5"]) == (1, 1)
-    assert got["On-Time"]["score_3"] == 0
+    rows = eda.late_by_review(shop["orders"], shop["order_reviews"]).collect()
+    got = {(r["delivery"], r["review_score"]): r["n"] for r in rows}
+    assert (got["Late", 4], got["Late", 5]) == (1, 1)
+    assert (got["On-Time", 1], got["On-Time", 5]) == (1, 1)
+    assert ("On-Time", 3) not in got
+
+
+def test_crosstab_takes_scores_from_the_data(spark, shop):
+    reviews = spark.createDataFrame(
+        [(r["order_id"], s) for r in shop["orders"].collect() for s in (0, 10, None)],
+        "order_id string, review_score int",
+    )
+    rows = eda.late_by_review(shop["orders"], reviews).collect()
+    assert {r["review_score"] for r in rows} == {0, 10}
 
 
 def test_null_profile_and_shapes(shop):

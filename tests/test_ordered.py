@@ -16,13 +16,6 @@ from ledgerloom.operators.histogram import histogram
 from ledgerloom.plans import rfm
 
 
-@pytest.fixture(params=["one task", "ranges"], autouse=True)
-def path(request, monkeypatch):
-    """Every test runs on both ways of numbering a table."""
-    if request.param == "ranges":
-        monkeypatch.setattr(ordered, "ONE_TASK_ROWS", 0)
-
-
 def hot_frame(spark, n=600):
     """Two groups; one value holds a third of all rows."""
     rng = random.Random(5)
@@ -62,6 +55,16 @@ def test_quantiles_with_a_hot_value(spark):
     assert ordered.quantile_values(df, "v", probs) == pytest.approx(list(pdf.v.quantile(probs)))
 
 
+def test_brackets_hold_the_wanted_positions(spark):
+    """Large enough for brackets narrower than the group; a third of the rows share a value."""
+    rng = random.Random(2)
+    rows = [(7.0 if i % 3 == 0 else rng.gauss(0, 30),) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "v double").repartition(6)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.95, 0.9999, 1.0]
+    want = pd.Series([v for v, in rows]).quantile(probs)
+    assert ordered.quantile_values(df, "v", probs) == pytest.approx(list(want))
+
+
 def test_quantiles_skip_nulls_and_empty_input(spark):
     df = spark.createDataFrame([(None,), (1.0,), (3.0,)], "v double")
     assert ordered.quantile_values(df, "v", [0.5]) == [2.0]
@@ -106,7 +109,7 @@ def base_frame(spark, frequencies):
 
 def test_scores_match_quantile_cuts(spark):
     df, pdf = base_frame(spark, [1 + i % 9 for i in range(60)])
-    got = rfm.score_by_quartiles(df).toPandas().set_index("customer_id")
+    got = rfm.score_by_quartiles(df, ties="value").toPandas().set_index("customer_id")
     pdf = pdf.set_index("customer_id")
     for column, labels in (
         ("recency", [4, 3, 2, 1]), ("frequency", [1, 2, 3, 4]), ("monetary", [1, 2, 3, 4]),
@@ -124,7 +127,7 @@ def test_coinciding_edges(spark):
         rfm.score_by_quartiles(df, ties="value").count()
     with pytest.raises(ValueError, match="policy"):
         rfm.score_by_quartiles(df, ties="other")
-    got = rfm.score_by_quartiles(df).toPandas().set_index("customer_id")["frequency_score"]
+    got = rfm.score_by_quartiles(df, ties="rank").toPandas().set_index("customer_id")["frequency_score"]
     ranks = pdf.set_index("customer_id")["frequency"].rank(method="first")
     assert got.to_dict() == pd.qcut(ranks, 4, labels=[1, 2, 3, 4]).astype(int).to_dict()
 

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog import QUERIES
 from ledgerloom.plans import etl, reports
-from ledgerloom.session import clear_spools, scratch_root, spool
+from ledgerloom.session import scratch_root, spool, spools
 from ledgerloom.sources import tables
 
 # Queries whose DataFrame is the whole plan (nothing is trained while it is built).
 FITTED = {
     "demand_leaderboard", "feature_importance", "demand_forecast", "cluster_selection",
     "customer_clusters", "cluster_profile", "score_demand", "score_segment",
-    "score_segment_stream",
+    "score_segment_stream", "customer_segments",
 }
 
 
@@ -153,7 +153,11 @@ def test_spool_keeps_an_empty_table(spark):
 
 
 def test_spools_can_be_cleared(spark):
-    path = spool(spark.range(5), "t").inputFiles()[0].removeprefix("file://")
-    assert os.path.exists(path)
-    assert clear_spools(spark) >= 1 and not os.path.exists(path)
-    assert clear_spools(spark) == 0
+    def stored():
+        return spool(spark.range(5), "t").inputFiles()[0].removeprefix("file://")
+
+    earlier = stored()
+    with spools(spark):
+        inner = stored()
+        assert os.path.exists(inner)
+    assert os.path.exists(earlier) and not os.path.exists(inner)

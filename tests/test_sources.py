@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.plans import etl, reports
+from ledgerloom.operators import orders as op
+from ledgerloom.plans import etl, reports, rfm
 from ledgerloom.sources import raw_files, tables
 
 CSV = {
@@ -70,11 +71,35 @@ def test_known_tables(spark, folder, tmp_path):
 
 
 def test_land_raw(spark, folder, tmp_path):
-    found = raw_files.load_raw(spark, folder)
+    found = raw_files.scan_text(spark, folder)
     for _ in range(2):  # a second landing replaces the first
         raw_files.land_raw(found, str(tmp_path))
-    landed = raw_files.read_csv(spark, str(tmp_path / "order_reviews"), "order_reviews")
-    assert landed.exceptAll(found["order_reviews"]).count() == 0 and landed.count() == 2
+    landed = raw_files.scan_text(spark, str(tmp_path))
+    assert set(landed) == set(found)
+    for name, text in found.items():
+        assert landed[name].exceptAll(text).count() == 0 and landed[name].count() == text.count()
+    dates = [r["order_delivered_customer_date"] for r in landed["orders"].orderBy("order_id").collect()]
+    assert dates == ["2018-01-05 09:00:00", "not a date", None]  # as delivered, not as cast
+    typed, again = raw_files.load_raw(spark, folder), raw_files.load_raw(spark, str(tmp_path))
+    assert again["orders"].exceptAll(typed["orders"]).count() == 0
+
+
+def test_files_of_one_table_with_other_column_orders(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text("order_id,customer_id\no1,c1\n")
+    (tmp_path / "olist_orders_dataset.csv").write_text("customer_id,order_id,order_status\nc2,o2,shipped\n")
+    rows = raw_files.load_raw(spark, str(tmp_path))["orders"].orderBy("order_id").collect()
+    assert [(r["order_id"], r["customer_id"], r["order_status"]) for r in rows] == [
+        ("o1", "c1", None), ("o2", "c2", "shipped"),
+    ]
+
+
+def test_part_files_must_share_a_header(spark, tmp_path):
+    parts = tmp_path / "orders"
+    parts.mkdir()
+    (parts / "part-0.csv").write_text("order_id,customer_id\no1,c1\n")
+    (parts / "part-1.csv").write_text("customer_id,order_id\nc2,o2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw_files.load_raw(spark, str(tmp_path))["orders"].collect()
 
 
 def test_etl_from_csv(spark, folder, tmp_path):
@@ -89,7 +114,12 @@ def test_etl_from_csv(spark, folder, tmp_path):
 
 def test_etl_stores_what_it_computes(spark, raw, tmp_path):
     stored = tables.run_etl(spark, raw, str(tmp_path))
-    built = etl.build_processed(raw)
+    master = etl.build_master(raw)
+    spend = rfm.rfm_base(etl.build_master(raw, with_customers=False), etl.snapshot_time(raw["orders"]))
+    built = {
+        "master": master, "orders": op.delivered_orders(raw["orders"]),
+        "items": op.item_totals(raw["order_items"]), "rfm": rfm.score_by_quartiles(spend, ties="value"),
+    }
     assert set(stored) == {"master", "rfm", "orders", "items", "payments"}
     for name in ("orders", "items", "rfm"):
         left, right = stored[name], built[name]
