@@ -2,7 +2,8 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8). Prints one JSON
 line. Every query is evaluated in full from the raw tables; `etl` builds and writes all five
-processed tables, and the `stored_*` entries read those.
+processed tables, and the `stored_*` entries read those. The model fits come last and are not in
+the total.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ HEADLINE = [
     "rfm_ml_scored", "demand_features", "ab_metrics", "ab_tests", "eda_summary",
 ]
 
+# Fits with full parameters: three models with five folds each, k = 2..8 with ten starts each.
+MODELS = ["demand_leaderboard", "cluster_selection"]
+
 STORED = {
     "stored_q01": lambda t: reports.monthly_revenue(t["master"]),
     "stored_q02": lambda t: reports.top_states(t["master"]),
@@ -63,12 +67,14 @@ def main() -> None:
         timed(name, lambda: catalog.QUERIES[name](spark, folder))
     for name, run in STORED.items():
         timed(name, lambda: run(stored))
+    for name in MODELS:
+        timed(name, lambda: catalog.QUERIES[name](spark, folder))
     spark.stop()
     print(
         json.dumps(
             {
                 "metric": "etl_and_headline_queries_total",
-                "value": round(sum(seconds.values()), 3),
+                "value": round(sum(s for n, s in seconds.items() if n not in MODELS), 3),
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

@@ -393,7 +393,7 @@ def ab_daily_mannwhitney(spark, folder):
 
 @query
 def ab_tests(spark, folder):
-    return experiments.run_tests(_units(spark, folder))
+    return experiments.run_tests(spool(_units(spark, folder), "units"))
 
 
 @query
@@ -585,7 +585,7 @@ def customer_segments(spark, folder):
 @query
 def experiment_report(spark, folder):
     """Metrics and decisions of the experiment in long form, written as CSV and read."""
-    units = _units(spark, folder)
+    units = spool(_units(spark, folder), "units")
     tests = experiments.run_tests(units).select(
         F.col("test").alias("section"), "control_value", "test_value", "lift_pct", "p_value", "decision"
     )

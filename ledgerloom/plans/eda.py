@@ -304,19 +304,22 @@ def summary(tables: Mapping[str, DataFrame], approximate_people: bool = False) -
 
     delivered = F.col("order_status") == "delivered"
     days = F.when(delivered & F.col("delivery_days").between(0, 60), F.col("delivery_days"))
-    late = F.sum(F.when(days.isNotNull(), F.col("is_late")))
-    totals = (
-        op.derive_orders(orders)
-        .agg(
-            F.struct(
-                F.count("*").alias("total"),
-                F.count_if(delivered).alias("delivered"),
-                even_round(percent(late, F.count(days)), 1).alias("late"),
-                even_round(F.avg(days), 1).alias("days"),
-            ).alias("s")
-        )
-        .scalar()
+    # One pass over the orders: per hour, then over the hours.
+    hourly = op.derive_orders(orders).groupBy("hour").agg(
+        F.count("*").alias("n"), F.count_if(delivered).alias("delivered"),
+        F.sum(F.when(days.isNotNull(), F.col("is_late"))).alias("late"),
+        F.count(days).alias("timed"), F.sum(days).alias("days"),
     )
+    known_hour = F.when(F.col("hour").isNotNull(), F.struct("n", -F.col("hour")))
+    totals = hourly.agg(
+        F.struct(
+            F.sum("n").alias("total"),
+            F.sum("delivered").alias("delivered"),
+            even_round(percent(F.sum("late"), F.sum("timed")), 1).alias("late"),
+            even_round(F.try_divide(F.sum("days"), F.sum("timed")), 1).alias("days"),
+            F.max_by("hour", known_hour).alias("peak_hour"),
+        ).alias("s")
+    ).scalar()
     per_customer = (
         delivered_only(orders).groupBy("customer_id").agg(F.count("order_id").alias("orders"))
     )
@@ -333,14 +336,14 @@ def summary(tables: Mapping[str, DataFrame], approximate_people: bool = False) -
     reviews = review_overview(tables["order_reviews"])
     sellers = tables["sellers"].agg(F.count("*").alias("sellers"))
     return orders.sparkSession.range(1).select(
-        totals.getField("total").alias("total_orders"),
-        totals.getField("delivered").alias("delivered_orders"),
+        F.coalesce(totals.getField("total"), F.lit(0)).alias("total_orders"),
+        F.coalesce(totals.getField("delivered"), F.lit(0)).alias("delivered_orders"),
         people.scalar().alias("unique_customers"),
         sellers.scalar().alias("unique_sellers"),
         scalar(reviews, F.col("avg_score")).alias("avg_review_score"),
         totals.getField("late").alias("late_rate_pct"),
         totals.getField("days").alias("avg_delivery_days"),
         scalar(by_state, F.col("customer_state")).alias("top_state"),
-        scalar(peak_hour(orders), F.col("peak_hour")).alias("peak_hour"),
+        totals.getField("peak_hour").alias("peak_hour"),
         scalar(by_type, F.col("payment_type")).alias("top_payment"),
     )

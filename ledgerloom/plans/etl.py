@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import orders as op
 
+
 def build_master(tables: Mapping[str, DataFrame], with_customers: bool = True) -> DataFrame:
     """One row per delivered order with item, payment, review and customer columns.
 
@@ -21,17 +22,26 @@ def build_master(tables: Mapping[str, DataFrame], with_customers: bool = True) -
     does not use is dropped from its plan. It cannot see that for the customers, so
     ``with_customers=False`` leaves that lookup out.
     """
-    orders = op.delivered_orders(tables["orders"])
-    places: list[str] = []
-    master = orders
-    if with_customers:
-        places = ["customer_state", "customer_city"]
-        master = master.join(tables["customers"].select("customer_id", *places), "customer_id", "left")
-    for side in (
+    return assemble(
+        op.delivered_orders(tables["orders"]),
         op.items_per_order(tables["order_items"]),
         op.payments_per_order(tables["order_payments"]),
         op.reviews_per_order(tables["order_reviews"]),
-    ):
+        tables["customers"] if with_customers else None,
+    )
+
+
+def assemble(
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
+    customers: DataFrame | None,
+) -> DataFrame:
+    """The master table from delivered orders and one row per order of each other side."""
+    places: list[str] = []
+    master = orders
+    if customers is not None:
+        places = ["customer_state", "customer_city"]
+        master = master.join(customers.select("customer_id", *places), "customer_id", "left")
+    for side in (items, payments, reviews):
         master = master.join(side, "order_id", "left")
     return master.select(
         *orders.columns,

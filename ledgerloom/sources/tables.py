@@ -61,30 +61,30 @@ def run_etl(
     """Build and store the five processed tables and return them read back. ``ties``: how the
     customer scores treat equal order counts.
 
-    The joins run once: the customer scores are computed from the stored master table. The
-    other tables do not depend on it and are written at the same time, as separate Spark jobs
-    that fill executors left idle by the tail of another job's stages.
+    Orders, items and payments are written first, at the same time, as separate Spark jobs that
+    fill executors left idle by the tail of another job's stages. The master table is built from
+    what they wrote, and the customer scores from the master table, so every raw table is read and
+    every per-order sum computed once.
     """
-
-    def customers_after_master() -> None:
-        write_processed({"master": etl.build_master(tables)}, folder)
-        master = read_table(spark, folder, "master")
-        write_processed({"rfm": rfm.score_by_quartiles(rfm.rfm_base(master), ties)}, folder)
-
-    others = {
+    first = {
         "orders": op.delivered_orders(tables["orders"]),
         "items": op.item_totals(tables["order_items"]),
         "payments": op.payments_per_order(tables["order_payments"]),
     }
     run = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(others) + 1) as pool:
-        jobs = [pool.submit(run(customers_after_master))]
-        jobs += [
-            pool.submit(run(write_processed), {name: df}, folder) for name, df in others.items()
-        ]
+    with ThreadPoolExecutor(len(first)) as pool:
+        jobs = [pool.submit(run(write_processed), {name: df}, folder) for name, df in first.items()]
         for job in jobs:
             job.result()
-    return {name: read_table(spark, folder, name) for name in ("master", "rfm", *others)}
+    stored = {name: read_table(spark, folder, name) for name in first}
+    master = etl.assemble(
+        stored["orders"], op.items_per_order(stored["items"]), stored["payments"],
+        op.reviews_per_order(tables["order_reviews"]), tables["customers"],
+    )
+    write_processed({"master": master}, folder)
+    stored["master"] = read_table(spark, folder, "master")
+    write_processed({"rfm": rfm.score_by_quartiles(rfm.rfm_base(stored["master"]), ties)}, folder)
+    return {**stored, "rfm": read_table(spark, folder, "rfm")}
 
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
