@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -639,6 +641,28 @@ def demand_folds(spark, folder):
     ).select("fold", "n", "first.*")
 
 
+@query
+def fixed_model_forecast(spark, folder):
+    """The forecast of a linear model with given coefficients."""
+    panel = _panel(spark, folder)
+    rule = "0.61 * lag_1_orders + 0.13 * rolling_3m + 0.29 * month - 37.3"
+    return forecast.forecast(panel.features, _given_model(panel.encoder, rule))
+
+
+@query
+def fixed_model_scores(spark, folder):
+    """Scores of demand requests by a linear model with given coefficients."""
+    encoder = demand.fit_state_encoder(distinct_states(spark, folder))
+    rule = "0.001 * avg_order_val + 3.17 * month + 0.37 * state_enc + 0.01 * num_customers - 20.13"
+    model = _given_model(encoder, rule)
+    return scoring.score_demand(_demand_requests(spark, folder), model, keep=["request_id"])
+
+
+def _given_model(encoder, rule: str) -> PipelineModel:
+    statement = f"SELECT *, CAST({rule} AS DOUBLE) AS prediction FROM __THIS__"
+    return PipelineModel([encoder, SQLTransformer(statement=statement)])
+
+
 @query
 def scaled_measures(spark, folder):
     """Mean and population deviation that standardisation uses."""

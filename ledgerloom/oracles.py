@@ -592,3 +592,47 @@ ORACLES["rule_cluster_profile"] = f"""WITH {_RFM}, clustered AS (
   SELECT cluster_label, count(customer_id) AS customers, round_even(avg(recency), 1) AS avg_recency,
     round_even(avg(frequency), 1) AS avg_frequency, round_even(avg(monetary), 1) AS avg_monetary
   FROM clustered JOIN named USING (cluster) GROUP BY cluster_label"""
+
+# Two-sided tail areas by Simpson's rule: of the normal density over [|x|, |x| + 40], and of
+# Student's density after x = |t| + s / (1 - s).
+_NORMAL_TAIL = """(SELECT 2 * sum(w * exp(-((x + step) ** 2) / 2)) / sqrt(2 * pi()) FROM (
+  SELECT 0.005 * i AS step, CASE WHEN i IN (0, 8000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+    * 0.005 / 3 AS w FROM range(0, 8001) r(i)))"""
+_STUDENT_TAIL = """(SELECT 2 * sum(w / (1 - s) ** 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)
+    - 0.5 * ln(df * pi()) - (df + 1) / 2 * ln(1 + (x + s / (1 - s)) ** 2 / df))) FROM (
+  SELECT i / 20000.0::DOUBLE AS s, CASE WHEN i = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+    / 60000.0::DOUBLE AS w FROM range(0, 20000) r(i)))"""
+
+ORACLES["ab_tests"] = f"""WITH z AS ({ORACLES["ab_ztest_stats"]}), t AS ({ORACLES["ab_welch_stats"]}),
+  u AS ({ORACLES["ab_mannwhitney_stats"]}), found AS (
+  SELECT 'Z-test (conversion rate)' AS test, round_even(control_cvr, 4) AS control_value,
+    round_even(test_cvr, 4) AS test_value, round_even(lift_pct, 2) AS lift_pct,
+    round_even(z_stat, 4) AS statistic, abs(z_stat) AS x, CAST(NULL AS DOUBLE) AS df,
+    ' difference' AS what FROM z UNION ALL
+  SELECT 'Welch t-test (revenue per user)', round_even(control_avg, 2), round_even(test_avg, 2),
+    round_even(lift_pct, 2), round_even(t_stat, 4), abs(t_stat), degrees, ' revenue difference'
+  FROM t UNION ALL
+  SELECT 'Mann-Whitney U (session pages)', control_median, test_median, NULL,
+    round_even(u_stat, 2), greatest(z_stat, 0), NULL, NULL FROM u), tails AS (
+  SELECT *, CASE WHEN df IS NULL THEN {_NORMAL_TAIL} ELSE {_STUDENT_TAIL} END AS p FROM found)
+  SELECT test, control_value, test_value, lift_pct, statistic, round_even(p, 6) AS p_value,
+    p < 0.05 AS significant,
+    CASE WHEN p < 0.05 THEN 'REJECT H₀' || coalesce(' — significant' || what, '')
+      ELSE 'FAIL TO REJECT H₀' || coalesce(' — no significant' || what, '') END AS decision
+  FROM tails"""
+
+ORACLES["fixed_model_forecast"] = f"""WITH inputs AS ({ORACLES["forecast_inputs"]})
+  SELECT customer_state AS state, out_year AS year, out_month AS month, CAST(greatest(0, round_even(
+    0.61 * lag_1_orders + 0.13 * rolling_3m + 0.29 * month - 37.3, 0)) AS BIGINT) AS predicted_orders
+  FROM inputs"""
+
+ORACLES["fixed_model_scores"] = f"""WITH {_CUSTOMERS}, requests AS ({ORACLES["request_validation"]}),
+  states AS (SELECT customer_state AS state,
+    row_number() OVER (ORDER BY customer_state) - 1 AS state_enc
+    FROM (SELECT DISTINCT customer_state FROM customers WHERE customer_state IS NOT NULL))
+  SELECT request_id, state, year, month, CASE WHEN error IS NULL THEN CAST(greatest(0, round_even(
+      0.001 * coalesce(avg_order_val, 150) + 3.17 * month + 0.37 * state_enc
+      + 0.01 * 400 - 20.13, 0)) AS BIGINT) END AS predicted_orders,
+    CASE WHEN error IS NULL
+      THEN 'Based on Random Forest / Gradient Boosting model' END AS confidence_note, error
+  FROM requests LEFT JOIN states USING (state)"""

@@ -9,9 +9,9 @@ from conftest import SMALL
 from ledgerloom.catalog import QUERIES
 from ledgerloom.oracles import ORACLES
 
-# Results that no SQL text describes: fitted models, their scores and tail probabilities.
+# Results that no SQL text describes: fitted models and their scores.
 WITHOUT_SQL = {
-    "ab_tests", "cluster_profile", "customer_segments", "experiment_report", "cluster_selection", "customer_clusters", "demand_forecast",
+    "cluster_profile", "customer_segments", "experiment_report", "cluster_selection", "customer_clusters", "demand_forecast",
     "demand_leaderboard", "feature_importance", "score_demand", "score_segment",
     "score_segment_stream",
 }
