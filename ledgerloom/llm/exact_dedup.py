@@ -95,6 +95,8 @@ def duplicates(docs: DataFrame, hashed=chunk_hash, row: str | None = None) -> Da
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"),
         F.count("*").alias("group_size"),
     )
+    # Written, so that both sides of the join are dealt for it and a large group can be split.
+    groups = spool(groups, "copy-groups")
     return listed.join(groups, "recipe").select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256", "row",
