@@ -151,7 +151,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], otherwise: str = "allow", url
     shapes = sorted({(r.host.count(".") + 1, len(r.path)) for r in rules})
     keys = candidate_keys(F.col("host"), F.col("path"), shapes) if shapes else F.array().cast("array<string>")
     asked = pages.select(F.col(url)).select(host.alias("host"), path.alias("path")).select(F.explode(keys).alias("key"))
-    table = spark.createDataFrame([(r.key, r.verdict) for r in rules], "key string, verdict string")
+    pairs = [F.struct(F.lit(r.key).alias("key"), F.lit(r.verdict).alias("verdict")) for r in rules]
+    table = spark.range(1 if rules else 0).select(
+        F.inline(F.array(*(pairs or [F.struct(F.lit("").alias("key"), F.lit("").alias("verdict"))])))
+    )
     universe = spool(
         asked.select("key", F.lit(None).cast("string").alias("verdict")).union(table)
         .groupBy("key")
