@@ -1,9 +1,9 @@
 """Toxicity by the nearest labelled examples.
 
-Words that occur significantly more often in toxic than in other examples are the vocabulary, and
-their document frequencies over all documents the weights. Examples are TF-IDF vectors of length
-one in an inverted index whose postings are cut into blocks of examples, each with its largest
-weight. A text takes the blocks in the order of what they could score at most and stops when no
+Words that occur significantly and several times more often in toxic than in other examples are
+the vocabulary, and their document frequencies over all documents the weights. Examples are TF-IDF
+vectors of length one in an inverted index whose postings are cut into blocks of examples, each
+with its largest weight. A text takes the blocks in the order of what they could score at most and stops when no
 block can reach its k-th best, so the neighbours are the exact ones. Their votes, weighted by
 distance, are brought to probabilities by a monotone fit to the examples' own votes without
 themselves.
@@ -37,12 +37,14 @@ from ledgerloom.session import spool
 
 EXAMPLES = 20_000
 TERMS = 8_192
-LEAST_TOXIC = 3  # toxic examples that must have a word
-LEAST_G2 = 12.0  # log-likelihood ratio of word and label
+LEAST_TOXIC = 4  # toxic examples that must have a word
+LEAST_LIFT = 4.0  # how many times as often toxic examples have a word
+LEAST_G2 = 22.0  # log-likelihood ratio of word and label
 NEIGHBOURS = 15
 BLOCK = 64
 _NEAR = 0.05
-_BLOCKS_AT_ONCE = 4
+_BLOCKS_FIRST = 8
+_REMEMBERED = 50_000
 _BINS = 40
 
 _TO_WORDS = bytes(c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
@@ -67,35 +69,40 @@ class BlockMaxIndex:
             at = np.array([i for i, _ in pairs])
             weight = np.array([w for _, w in pairs])
             own, first = np.unique(at // block, return_index=True)
-            self.postings[term] = (at, weight, own, np.append(first, len(at)), np.maximum.reduceat(weight, first))
+            self.postings[term] = (at, weight, at // block, own, np.maximum.reduceat(weight, first))
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Up to ``k`` examples with a cosine over zero, best first, and their cosines."""
         terms = [(self.postings[t], w) for t, w in query.items() if t in self.postings]
         bound = np.zeros(self.blocks)
-        for (_, _, own, _, most), w in terms:
+        for (_, _, _, own, most), w in terms:
             bound[own] += w * most
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        found, score, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for i in range(0, len(order), _BLOCKS_AT_ONCE):
-            some = order[i:i + _BLOCKS_AT_ONCE]
-            if len(found) == k and bound[some[0]] < least - 1e-12:
-                break
-            sums = np.zeros((len(some), self.block))
-            for (at, weight, own, first, _), w in terms:
-                place = np.searchsorted(own, some)
-                for row, p in enumerate(place):
-                    if p < len(own) and own[p] == some[row]:
-                        a, b = first[p], first[p + 1]
-                        sums[row, at[a:b] % self.block] += w * weight[a:b]
-            ids = (some[:, None] * self.block + np.arange(self.block)).ravel()
-            sums = sums.ravel()
-            keep = (sums > 0) & (ids != without)
-            found, score = np.concatenate([found, ids[keep]]), np.concatenate([score, sums[keep]])
+        found, score = np.zeros(0, np.int64), np.zeros(0)
+        done = 0
+        while done < len(order):
+            # The most promising blocks first; then all that can still reach the k-th best.
+            some = order[done:done + _BLOCKS_FIRST]
+            if len(found) == k:
+                some = order[done:][bound[order[done:]] >= score[-1] - 1e-9]
+                if not len(some):
+                    break
+            done += len(some)
+            chosen = np.zeros(self.blocks, dtype=bool)
+            chosen[some] = True
+            sums = np.zeros(self.size)
+            for (at, weight, blocks, _, _), w in terms:
+                inside = chosen[blocks]
+                sums[at[inside]] += w * weight[inside]
+            ids = np.flatnonzero(sums)
+            ids = ids[ids != without]
+            found, score = np.concatenate([found, ids]), np.concatenate([score, sums[ids]])
+            if len(found) > k:  # only those that can be among the best need sorting
+                close = score >= np.partition(score, len(score) - k)[len(score) - k] - 1e-9
+                found, score = found[close], score[close]
             best = np.lexsort((found, -np.round(score, 12)))[:k]
             found, score = found[best], score[best]
-            least = score[-1] if len(score) else 0.0
         return found, score
 
 
@@ -127,29 +134,30 @@ class Neighbours:
     shares: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
 
     def __post_init__(self):
-        self.index = BlockMaxIndex(self.vectors)
+        self.index, self.seen = BlockMaxIndex(self.vectors), {}
         if len(self.vectors) > 20:
             raw = np.array([self.vote(v, i)[0] for i, v in enumerate(self.vectors)])
             self.votes, self.shares = monotone_fit(raw, self.labels)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "index"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "seen")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.index = BlockMaxIndex(self.vectors)
+        self.seen = {}
 
     def vector(self, text: str | None) -> dict[int, float]:
         get = self.terms.get
         counts = Counter([t for t in map(get, words_of(text)) if t is not None])
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
+        raw = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in sorted(counts.items())}
         length = math.sqrt(sum(w * w for w in raw.values()))
         return {t: w / length for t, w in raw.items()}
 
     def vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         at, cosine = self.index.nearest(vector, NEIGHBOURS, without)
         weight = 1 / (_NEAR + np.maximum(0.0, 1 - cosine))
-        prior = 1.0  # one vote at the distance of an unrelated example
+        prior = 1 / _NEAR  # one vote, as near as can be, for the texts without any of the words
         share = (float(weight @ self.labels[at]) + prior * self.without) / (float(weight.sum()) + prior)
         return share, at, cosine
 
@@ -158,9 +166,14 @@ class Neighbours:
         vector = self.vector(text)
         if not vector:
             return self.without, []
-        share, at, cosine = self.vote(vector)
-        evidence = [(self.ids[i], float(c), int(self.labels[i])) for i, c in zip(at, cosine)]
-        return float(np.interp(share, self.votes, self.shares)), evidence
+        key = tuple(vector.items())
+        if key not in self.seen:
+            share, at, cosine = self.vote(vector)
+            evidence = list(zip([self.ids[i] for i in at], cosine.tolist(), self.labels[at].astype(int).tolist()))
+            if len(self.seen) >= _REMEMBERED:
+                self.seen.clear()
+            self.seen[key] = float(np.interp(share, self.votes, self.shares)), evidence
+        return self.seen[key]
 
 
 class ToxicityModel:
@@ -230,7 +243,7 @@ def _vocabulary(sample: DataFrame, limit: int) -> list[bytes]:
     counted = sample.select("text", "label").mapInArrow(count, "word binary, n1 long, n0 long")
     words = (
         counted.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-        .where((F.col("n1") >= LEAST_TOXIC) & (F.col("n1") * all0 > F.col("n0") * all1))
+        .where((F.col("n1") >= LEAST_TOXIC) & (F.col("n1") * all0 > LEAST_LIFT * F.col("n0") * all1))
     )
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,6 +307,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     none, toxic = rows.where(empty).agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     # Ids are unique in ``chosen``; rows that repeat one could be more than asked for.
     kept = rows.where(~empty).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples).collect()
+    # Examples with the same strongest word lie together, so that blocks differ in what they bound.
+    kept.sort(key=lambda r: (r.terms[int(np.argmax(r.weights))], -max(r.weights)))
     return ToxicityModel(spark.sparkContext.broadcast(Neighbours(
         model.terms, idf, [dict(zip(r.terms, r.weights)) for r in kept],
         np.array([float(r.label) for r in kept]), [r.doc_id for r in kept],
