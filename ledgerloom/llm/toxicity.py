@@ -1,42 +1,42 @@
 """Toxicity by the nearest labelled examples.
 
-Words that occur significantly and several times more often in toxic than in other examples are
-the vocabulary, and their document frequencies over all documents the weights. Examples are TF-IDF
-vectors of length one in an inverted index whose postings are cut into blocks of examples, each
-with its largest weight. A text takes the blocks in the order of what they could score at most and stops when no
-block can reach its k-th best, so the neighbours are the exact ones. Their votes, weighted by
-distance, are brought to probabilities by a monotone fit to the examples' own votes without
-themselves.
+Examples and texts are TF-IDF vectors of length one over every word that an example has, with
+document frequencies over all documents. The neighbours of a text are the examples with the largest
+exact cosine (``nearest``). A second search (``evidence``), by the same weights, looks only at words
+that occur significantly and several times more often in toxic than in other examples: few insults
+weigh little in a long text. It runs on an inverted index whose postings are cut into blocks of examples,
+each with its largest weight; blocks are taken in the order of what they could score at most, until
+no block can reach the k-th best. The votes of both searches, weighted by distance, are brought to one
+probability by a logistic and then a monotone fit to the examples' own votes without themselves.
 
 The examples are a sample of the labelled rows of bounded size (``examples``), chosen by a hash of
 their id; everything else covers all documents.
 
-Defined results: a null text is empty; a text without vocabulary words, the empty one too, has no
-neighbours and gets the share of toxic examples among those without; ties in similarity go to the
-example listed first; without examples every score is zero; labels that are null are no labels,
-an id labelled twice is toxic if one of its labels is; of rows that repeat a labelled id each is an
-example. Extra columns are kept.
+Defined results: a null text is empty; words that no example has are in no vector; a text without any
+word of the examples, the empty one too, has no neighbours, and its vote is the share of toxic
+examples; where the toxic words are missing, their vote is the share of toxic examples among those
+without; ties in similarity go to the example listed first; without examples every score is zero;
+labels that are null are no labels, an id labelled twice is toxic if one of its labels is; of rows
+that repeat a labelled id each is an example. Extra columns are kept.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import unused
 from ledgerloom.session import spool
 
 EXAMPLES = 20_000
-TERMS = 8_192
+TERMS = 8_192  # toxic words; texts are compared by all words
 LEAST_TOXIC = 4  # toxic examples that must have a word
 LEAST_LIFT = 4.0  # how many times as often toxic examples have a word
 LEAST_G2 = 22.0  # log-likelihood ratio of word and label
@@ -46,6 +46,8 @@ _NEAR = 0.05
 _BLOCKS_FIRST = 8
 _REMEMBERED = 50_000
 _BINS = 40
+_COMMON = 12  # words of one example in so many are columns
+_TEXTS = 128  # compared at once
 
 _TO_WORDS = bytes(c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
@@ -106,6 +108,66 @@ class BlockMaxIndex:
         return found, score
 
 
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``first[i]``, ``first[i]`` + 1, … (``n[i]`` numbers) for each i."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+class WholeTexts:
+    """Exact nearest examples by cosine over all words, for several texts at once.
+
+    Example i has ``terms[first[i]:first[i + 1]]``, with weights of length one. Words that many
+    examples have are rows of a matrix, the others postings. Sums in single precision leave out
+    only what cannot be among the best; the rest is added up again in double precision."""
+
+    def __init__(self, first: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int):
+        self.first, self.terms, self.weights, self.size = first, terms, weights, len(first) - 1
+        owner = np.repeat(np.arange(self.size), np.diff(first))
+        common = np.flatnonzero(np.bincount(terms, minlength=n_terms) > max(16, self.size / _COMMON))
+        self.row = np.full(n_terms, -1)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), self.size), np.float32)
+        row = self.row[terms]
+        self.matrix[row[row >= 0], owner[row >= 0]] = weights[row >= 0]
+        rest = np.flatnonzero(row < 0)
+        rest = rest[np.argsort(terms[rest], kind="stable")]
+        self.owner, self.weight = owner[rest].astype(np.int32), weights[rest].astype(np.float32)
+        self.start = np.searchsorted(terms[rest], np.arange(n_terms + 1))
+        self.query = np.zeros(n_terms)
+        self.error = (len(common) + 8) * 2.0**-22
+
+    def nearest(
+        self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each (terms, weights) up to ``k`` examples with a cosine over zero, best first, and
+        their cosines; without example ``without[i]`` for text i."""
+        common = np.zeros((len(texts), len(self.matrix)), np.float32)
+        for i, (terms, weights) in enumerate(texts):
+            row = self.row[terms]
+            common[i, row[row >= 0]] = weights[row >= 0]
+        sums, found = common @ self.matrix, []
+        for i, (terms, weights) in enumerate(texts):
+            a, b = self.start[terms], self.start[terms + 1]
+            if (a < b).any():
+                each = list(zip(a[a < b].tolist(), b[a < b].tolist()))
+                owner = np.concatenate([self.owner[x:y] for x, y in each])
+                weight = np.concatenate([self.weight[x:y] for x, y in each])
+                sums[i] += np.bincount(owner, weight * np.repeat(weights, b - a), self.size)
+            if without is not None:
+                sums[i, without[i]] = 0
+            least = np.partition(sums[i], self.size - k)[self.size - k] - 2 * self.error if self.size > k else 0.0
+            ids = np.flatnonzero(sums[i] >= least) if least > 0 else np.flatnonzero(sums[i])
+            n = self.first[ids + 1] - self.first[ids]
+            at = _ranges(self.first[ids], n)
+            self.query[terms] = weights
+            products = self.query[self.terms[at]] * self.weights[at]
+            self.query[terms] = 0
+            cosine = np.add.reduceat(products, np.cumsum(n) - n) if len(ids) else np.zeros(0)
+            best = np.lexsort((ids, -np.round(cosine, 12)))[:k]
+            found.append((ids[best], cosine[best]))
+        return found
+
+
 def monotone_fit(raw: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Increasing step function from votes to shares: bins of equal numbers, pooled where they
     fall. Returns the bins' mean votes and shares."""
@@ -120,90 +182,155 @@ def monotone_fit(raw: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.nda
     return (np.array([a / n for a, _, n in pools]), np.array([(y + 0.5) / (n + 1) for _, y, n in pools]))
 
 
+def logistic_fit(votes: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Intercept and weights of the columns of ``votes``, by Newton steps with a small penalty."""
+    x = np.column_stack([np.ones(len(votes)), votes])
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + 0.1 * np.eye(len(w)), x.T @ (label - p) - 0.1 * w)
+        size = float(np.abs(step).max())
+        w = w + step * min(1.0, 5 / max(size, 1e-300))
+        if size < 1e-9:
+            break
+    return w
+
+
+@dataclass
+class Calibration:
+    """From the two votes to a probability."""
+
+    weights: np.ndarray
+    votes: np.ndarray
+    shares: np.ndarray
+
+    @classmethod
+    def of(cls, votes: np.ndarray, label: np.ndarray) -> Calibration:
+        if len(label) <= 20:
+            return cls(np.array([0.0, 0.5, 0.5]), np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+        weights = logistic_fit(votes, label)
+        return cls(weights, *monotone_fit(weights[0] + votes @ weights[1:], label))
+
+    def __call__(self, whole: float, toxic: float) -> float:
+        raw = self.weights[0] + self.weights[1] * whole + self.weights[2] * toxic
+        return float(np.interp(raw, self.votes, self.shares))
+
+
+def _share(labels: np.ndarray, cosine: np.ndarray, prior: float, base: float) -> float:
+    weight = 1 / (_NEAR + np.maximum(0.0, 1 - cosine))
+    return (float(weight @ labels) + prior * base) / (float(weight.sum()) + prior)
+
+
 @dataclass
 class Neighbours:
-    """What a task needs to score texts; its size is bounded by examples and terms."""
+    """What a task needs to vote on texts; its size is bounded by the examples and their words.
+
+    Terms below ``n_toxic`` are the toxic words. Example i has ``words[first[i]:first[i + 1]]``,
+    ``counts`` times each; those with toxic words come first."""
 
-    terms: dict[bytes, int]
+    n_toxic: int
     idf: np.ndarray
-    vectors: list[dict[int, float]]
+    first: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
     labels: np.ndarray
     ids: list[int | None]
-    without: float  # share of toxic examples among those without vocabulary words
-    votes: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
-    shares: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
 
-    def __post_init__(self):
-        self.index, self.seen = BlockMaxIndex(self.vectors), {}
-        if len(self.vectors) > 20:
-            raw = np.array([self.vote(v, i)[0] for i, v in enumerate(self.vectors)])
-            self.votes, self.shares = monotone_fit(raw, self.labels)
+    def build(self) -> None:
+        """The indexes, in each task's process; the driver does without."""
+        self.seen, n = {}, len(self.labels)
+        each = [self.weigh(*self.example(i)) for i in range(n)]
+        weights = np.concatenate([w for _, w in each]) if n else np.zeros(0)
+        self.whole = WholeTexts(self.first, self.words, weights, len(self.idf))
+        vectors = [self.toxic_words(*self.example(i)) for i in range(n)]
+        self.having = sum(1 for v in vectors if v)
+        self.index = BlockMaxIndex(vectors[:self.having])
+        self.base = float(self.labels.mean()) if n else 0.0
+        none = self.labels[self.having:]
+        # Share of toxic examples among those without toxic words.
+        self.without = (float(none.sum()) + 0.5) / (len(none) + 1) if len(none) else 0.0
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("index", "seen")}
+        return {k: self.__dict__[k] for k in self.__dataclass_fields__}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self.index = BlockMaxIndex(self.vectors)
-        self.seen = {}
-
-    def vector(self, text: str | None) -> dict[int, float]:
-        get = self.terms.get
-        counts = Counter([t for t in map(get, words_of(text)) if t is not None])
-        raw = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in sorted(counts.items())}
-        length = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / length for t, w in raw.items()}
-
-    def vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        at, cosine = self.index.nearest(vector, NEIGHBOURS, without)
-        weight = 1 / (_NEAR + np.maximum(0.0, 1 - cosine))
-        prior = 1 / _NEAR  # one vote, as near as can be, for the texts without any of the words
-        share = (float(weight @ self.labels[at]) + prior * self.without) / (float(weight.sum()) + prior)
-        return share, at, cosine
-
-    def score(self, text: str | None) -> tuple[float, list[tuple[int | None, float, int]]]:
-        """Probability and evidence: the neighbours' ids, cosines and labels."""
-        vector = self.vector(text)
-        if not vector:
-            return self.without, []
-        key = tuple(vector.items())
+        self.build()
+
+    def example(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.first[i], self.first[i + 1]
+        return self.words[a:b], self.counts[a:b]
+
+    def weigh(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = (1 + np.log(counts)) * self.idf[words]
+        return words, raw / math.sqrt(raw @ raw) if len(raw) else raw
+
+    def toxic_words(self, words: np.ndarray, counts: np.ndarray) -> dict[int, float]:
+        n = int(np.searchsorted(words, self.n_toxic))
+        return dict(zip(*(x.tolist() for x in self.weigh(words[:n], counts[:n])))) if n else {}
+
+    def toxic_vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
+        key = (without, *vector.items())
         if key not in self.seen:
-            share, at, cosine = self.vote(vector)
-            evidence = list(zip([self.ids[i] for i in at], cosine.tolist(), self.labels[at].astype(int).tolist()))
+            at, cosine = self.index.nearest(vector, NEIGHBOURS, without)
             if len(self.seen) >= _REMEMBERED:
                 self.seen.clear()
-            self.seen[key] = float(np.interp(share, self.votes, self.shares)), evidence
+            # The prior is one vote, as near as can be, for the texts without any of the words.
+            self.seen[key] = _share(self.labels[at], cosine, 1 / _NEAR, self.without), at, cosine
         return self.seen[key]
 
+    def votes(
+        self, texts: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
+    ) -> Iterator[tuple[tuple[float, np.ndarray, np.ndarray], tuple[float, np.ndarray, np.ndarray]]]:
+        """Of each text (terms, counts), by all and by toxic words: vote, neighbours, cosines."""
+        for a in range(0, len(texts), _TEXTS):
+            some, out = texts[a:a + _TEXTS], without and without[a:a + _TEXTS]
+            found = self.whole.nearest([self.weigh(*t) for t in some], NEIGHBOURS, out)
+            for i, (text, (at, cosine)) in enumerate(zip(some, found)):
+                # The prior is one vote at the distance of an unrelated example.
+                whole = _share(self.labels[at], cosine, 1 / (1 + _NEAR), self.base)
+                yield (whole, at, cosine), self.toxic_vote(self.toxic_words(*text), out[i] if out else -1)
 
-class ToxicityModel:
-    def __init__(self, shared):
-        self._shared = shared
+    def named(self, at: np.ndarray, cosine: np.ndarray) -> list[tuple[int | None, float, int]]:
+        return list(zip([self.ids[i] for i in at], cosine.tolist(), self.labels[at].astype(int).tolist()))
+
+
+def count_terms(terms: dict[bytes, int], text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of a text in order, and how often it has them."""
+    found = [t for t in map(terms.get, words_of(text)) if t is not None]
+    return np.unique(np.array(found, np.int64), return_counts=True)
 
-    @property
-    def neighbours(self) -> Neighbours:
-        return self._shared.value
+
+class ToxicityModel:
+    def __init__(self, terms, shared, calibration: Calibration):
+        self._terms, self._shared, self.calibration = terms, shared, calibration
 
     def score(self, docs: DataFrame, name: str = "toxicity", text: str = "text", evidence: bool = False) -> DataFrame:
-        """``docs`` with ``name`` (0 to 1) and, if asked for, ``evidence``."""
-        shared = self._shared
+        """``docs`` with ``name`` (0 to 1) and, if asked for, the neighbours by toxic words
+        (``evidence``) and by all words (``nearest``)."""
+        terms, shared, calibration = self._terms, self._shared, self.calibration
 
         def run(texts: pa.Array) -> pa.Array:
-            found = [shared.value.score(t) for t in texts.to_pylist()]
-            scores = pa.array([s for s, _ in found], pa.float64())
+            model, found = shared.value, []
+            for whole, toxic in model.votes([count_terms(terms.value, t) for t in texts.to_pylist()]):
+                score = calibration(whole[0], toxic[0]) if model.ids else 0.0
+                found.append((score, *([model.named(*v[1:]) if evidence else [] for v in (toxic, whole)])))
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-            why = [
-                [{"doc_id": i, "cosine": c, "toxic": y} for i, c, y in e] if evidence else [] for _, e in found
-            ]
-            return pa.StructArray.from_arrays([scores, pa.array(why, kind)], names=["score", "evidence"])
+            return pa.StructArray.from_arrays(
+                [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], kind),
+                 pa.array([f[2] for f in found], kind)],
+                names=["score", "evidence", "nearest"],
+            )
 
         run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-        kind = "struct<score:double,evidence:array<struct<doc_id:bigint,cosine:double,toxic:int>>>"
+        near = "array<struct<doc_id:bigint,cosine:double,toxic:int>>"
+        kind = f"struct<score:double,evidence:{near},nearest:{near}>"
         both = unused(docs, "_judged")
         judged = docs.withColumn(both, F.arrow_udf(run, kind)(F.col(text)))
         judged = judged.withColumn(name, F.col(both)["score"])
         if evidence:
             judged = judged.withColumn("evidence", F.col(both)["evidence"])
+            judged = judged.withColumn("nearest", F.col(both)["nearest"])
         return judged.drop(both)
 
 
@@ -221,8 +348,9 @@ def _g2(n1: np.ndarray, n0: np.ndarray, all1: float, all0: float) -> np.ndarray:
     )
 
 
-def _vocabulary(sample: DataFrame, limit: int) -> list[bytes]:
-    """Words that toxic examples have significantly more often, at most ``limit``."""
+def _vocabulary(sample: DataFrame, limit: int) -> tuple[list[bytes], int]:
+    """All words of the examples, the best at telling toxic ones first, and how many these are:
+    words that toxic examples have significantly more often, at most ``limit``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, other = Counter(), Counter()
@@ -241,23 +369,20 @@ def _vocabulary(sample: DataFrame, limit: int) -> list[bytes]:
     sizes = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     all1, all0 = sizes[0], sizes[1] - sizes[0]
     counted = sample.select("text", "label").mapInArrow(count, "word binary, n1 long, n0 long")
-    words = (
-        counted.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-        .where((F.col("n1") >= LEAST_TOXIC) & (F.col("n1") * all0 > LEAST_LIFT * F.col("n0") * all1))
-    )
-
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            g2 = _g2(rows["n1"].to_numpy(float), rows["n0"].to_numpy(float), all1, all0)
-            yield rows.assign(g2=g2).loc[g2 >= LEAST_G2, ["word", "g2"]]
-
-    best = words.mapInPandas(choose, "word binary, g2 double").orderBy(F.desc("g2"), "word").limit(limit)
-    return [bytes(r.word) for r in best.collect()]
+    sums = counted.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toArrow()
+    words = np.array(sums["word"].to_pylist(), dtype=object)
+    order = np.argsort(words, kind="stable")
+    words, n1, n0 = words[order], sums["n1"].to_numpy()[order], sums["n0"].to_numpy()[order]
+    often = np.flatnonzero((n1 >= LEAST_TOXIC) & (n1 * all0 > LEAST_LIFT * n0 * all1))
+    g2 = _g2(n1[often].astype(float), n0[often].astype(float), all1, all0) if len(often) else np.zeros(0)
+    best = often[np.argsort(-g2, kind="stable")[:min(limit, int((g2 >= LEAST_G2).sum()))]]
+    rest = np.ones(len(words), dtype=bool)
+    rest[best] = False
+    return [*words[best], *words[rest]], len(best)
 
 
-def _document_frequencies(docs: DataFrame, words: list[bytes]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each word occurs, and their number."""
-    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
+def _document_frequencies(docs: DataFrame, shared) -> tuple[np.ndarray, int]:
+    """In how many of all documents each word of the broadcast ``shared`` occurs, and their number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, seen, n = shared.value, Counter(), 0
@@ -272,8 +397,11 @@ def _document_frequencies(docs: DataFrame, words: list[bytes]) -> tuple[np.ndarr
         )
 
     counted = docs.select("text").mapInArrow(count, "term int, n long")
-    sums = {r.term: r.n for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return np.array([sums.get(i, 0) for i in range(len(words))], dtype=float), sums.get(-1, 0)
+    sums = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = sums["term"].to_numpy(), sums["n"].to_numpy()
+    frequency = np.zeros(len(shared.value))
+    frequency[term[term >= 0]] = n[term >= 0]
+    return frequency, int(n[term < 0].sum())
 
 
 def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> ToxicityModel:
@@ -286,31 +414,70 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     )
     chosen = spool(chosen, "toxicity-labels")  # at most ``examples`` pairs of numbers
     sample = spool(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text"), "toxicity-examples")
-    words = _vocabulary(sample, terms)
-    frequency, n = _document_frequencies(docs, words)
+    words, n_toxic = _vocabulary(sample, terms)
+    places = {w: i for i, w in enumerate(words)}
+    shared = spark.sparkContext.broadcast(places)
+    frequency, n = _document_frequencies(docs, shared)
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    model = Neighbours({w: i for i, w in enumerate(words)}, idf, [], np.zeros(0), [], 0.0)
-    shared = spark.sparkContext.broadcast(model)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.vector(t) for t in batch.column(2).to_pylist()]
+            found = [count_terms(shared.value, t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()),
-                 pa.array([list(v) for v in found], pa.list_(pa.int32())),
-                 pa.array([list(v.values()) for v in found], pa.list_(pa.float64()))],
-                names=["doc_id", "label", "terms", "weights"],
+                 pa.array([t for t, _ in found], pa.list_(pa.int32())),
+                 pa.array([c for _, c in found], pa.list_(pa.int32()))],
+                names=["doc_id", "label", "terms", "counts"],
             )
 
-    rows = sample.mapInArrow(vectors, "doc_id long, label int, terms array<int>, weights array<double>")
-    empty = F.size("terms") == 0
-    none, toxic = rows.where(empty).agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    rows = sample.mapInArrow(vectors, "doc_id long, label int, terms array<int>, counts array<int>")
     # Ids are unique in ``chosen``; rows that repeat one could be more than asked for.
-    kept = rows.where(~empty).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples).collect()
-    # Examples with the same strongest word lie together, so that blocks differ in what they bound.
-    kept.sort(key=lambda r: (r.terms[int(np.argmax(r.weights))], -max(r.weights)))
-    return ToxicityModel(spark.sparkContext.broadcast(Neighbours(
-        model.terms, idf, [dict(zip(r.terms, r.weights)) for r in kept],
-        np.array([float(r.label) for r in kept]), [r.doc_id for r in kept],
-        (toxic + 0.5) / (none + 1) if none else 0.0,
-    )))
+    kept = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples).toArrow()
+    model = _model(n_toxic, idf, kept)
+    examples_shared = spark.sparkContext.broadcast(model)
+    return ToxicityModel(shared, examples_shared, _calibrate(spark, examples_shared, model.labels))
+
+
+def _calibrate(spark: SparkSession, shared, labels: np.ndarray) -> Calibration:
+    """From the examples' own votes without themselves, which tasks compute."""
+    if not len(labels):
+        return Calibration.of(np.zeros((0, 2)), labels)
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_pylist()
+            found = list(shared.value.votes([shared.value.example(i) for i in at], at))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([v[0][0] for v in found], pa.float64()),
+                 pa.array([v[1][0] for v in found], pa.float64())],
+                names=["at", "whole", "toxic"],
+            )
+
+    places = spark.range(0, len(labels), 1, -(-len(labels) // 500)).withColumnRenamed("id", "at")
+    votes = places.mapInArrow(vote, "at long, whole double, toxic double").toArrow().sort_by("at")
+    return Calibration.of(np.column_stack([votes["whole"].to_numpy(), votes["toxic"].to_numpy()]), labels)
+
+
+def _model(n_toxic: int, idf: np.ndarray, kept: pa.Table) -> Neighbours:
+    each = [(np.asarray(t.values), np.asarray(c.values)) for t, c in zip(kept["terms"], kept["counts"])]
+
+    def strongest(i: int) -> tuple:
+        """Examples with the same strongest toxic word lie together, so that blocks differ in
+        what they bound; those without come last."""
+        words, counts = each[i]
+        m = int(np.searchsorted(words, n_toxic))
+        if not m:
+            return (n_toxic, 0.0)
+        raw = (1 + np.log(counts[:m])) * idf[words[:m]]
+        top = int(np.argmax(raw))
+        return (int(words[top]), -float(raw[top]) / math.sqrt(raw @ raw))
+
+    order = sorted(range(len(each)), key=strongest)
+    empty = [np.zeros(0, np.int64)]
+    return Neighbours(
+        n_toxic, idf, np.cumsum([0] + [len(each[i][0]) for i in order]),
+        np.concatenate(empty + [each[i][0] for i in order]).astype(np.int32),
+        np.concatenate(empty + [each[i][1] for i in order]).astype(np.int32),
+        kept["label"].to_numpy()[order].astype(float) if order else np.zeros(0),
+        [kept["doc_id"][i].as_py() for i in order],
+    )

@@ -79,6 +79,46 @@ def test_toxicity_of_odd_rows(spark, odd, none):
         assert {r.toxicity for r in nothing.score(odd).collect()} == {0.0}
 
 
+def test_toxicity_looks_at_every_word(spark):
+    """Texts without any toxic word have neighbours too, the same as by plain cosines."""
+    docs, labels = labelled(spark)
+    new = [(100, "plain words 3 and more"), (101, "kind kind 5"), (102, "vile words 2 unheard"), (103, "unheard of")]
+    docs = docs.unionByName(spark.createDataFrame(new, "doc_id long, text string"))
+    texts = {r.doc_id: toxicity.words_of(r.text) for r in docs.collect()}
+    have = {w: sum(w in t for t in texts.values()) for w in {w for i in range(60) for w in texts[i]}}
+
+    def vector(words):
+        v = {w: (1 + np.log(words.count(w))) * (np.log((1 + len(texts)) / (1 + have[w])) + 1) for w in set(words) & have.keys()}
+        return {w: x / sum(y * y for y in v.values()) ** 0.5 for w, x in v.items()}
+
+    model = toxicity.learn(docs, labels)
+    rows = {r.doc_id: r for r in model.score(docs, evidence=True).collect()}
+    for i in (100, 101, 102, 4):
+        own = vector(texts[i])
+        want = sorted((sum(x * vector(texts[j]).get(w, 0) for w, x in own.items()) for j in range(60)), reverse=True)
+        assert [e.cosine for e in rows[i].nearest] == pytest.approx(want[:15])
+    assert rows[101].evidence == [] and len(rows[101].nearest) == 15 and rows[103].nearest == []
+    assert max(rows[100].toxicity, rows[101].toxicity) < 0.2 < 0.5 < rows[102].toxicity
+
+
+def test_whole_texts_are_exact():
+    rng = np.random.default_rng(5)
+    dense = (rng.random((300, 80)) < rng.random(80) ** 4) * rng.random((300, 80))
+    dense[:, 79] += 0.01
+    dense[250:] = dense[:50]  # ties
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    first = np.cumsum([0, *(dense > 0).sum(1)])
+    index = toxicity.WholeTexts(first, np.nonzero(dense)[1], dense[dense > 0], 80)
+    assert 0 < len(index.matrix) < 80
+    queries_ = [(np.flatnonzero(v), v[v > 0]) for v in dense]
+    for without in (None, list(range(300))):
+        for i, (at, cosine) in enumerate(index.nearest(queries_, 15, without)):
+            all_ = dense @ dense[i]
+            all_[[] if without is None else i] = 0
+            want = np.lexsort((np.arange(300), -np.round(all_, 12)))[:15]
+            assert at.tolist() == want.tolist() and cosine == pytest.approx(all_[want])
+
+
 def test_quality_of_odd_rows(spark, odd, none):
     docs, labels = labelled(spark)
     shouted = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.upper("text")))
