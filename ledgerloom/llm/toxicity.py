@@ -9,15 +9,16 @@ each with its largest weight; blocks are taken in the order of what they could s
 no block can reach the k-th best. The votes of both searches, weighted by distance, are brought to one
 probability by a logistic and then a monotone fit to the examples' own votes without themselves.
 
-The examples are a sample of the labelled rows of bounded size (``examples``), chosen by a hash of
-their id; everything else covers all documents.
+The examples are those of a sample of labelled ids of bounded size (``examples``), chosen by a hash of
+the id; everything else covers all documents.
 
 Defined results: a null text is empty; words that no example has are in no vector; a text without any
 word of the examples, the empty one too, has no neighbours, and its vote is the share of toxic
 examples; where the toxic words are missing, their vote is the share of toxic examples among those
 without; ties in similarity go to the example listed first; without examples every score is zero;
-labels that are null are no labels, an id labelled twice is toxic if one of its labels is; of rows
-that repeat a labelled id each is an example. Extra columns are kept.
+labels that are null are no labels, an id labelled twice is toxic if one of its labels is; rows that
+repeat a labelled id are an example for each different text, at most 4 for one id, chosen by a hash of
+the text. Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ TERMS = 8_192  # toxic words; texts are compared by all words
 LEAST_TOXIC = 4  # toxic examples that must have a word
 LEAST_LIFT = 4.0  # how many times as often toxic examples have a word
 LEAST_G2 = 22.0  # log-likelihood ratio of word and label
+TEXTS_OF_ID = 4  # examples of one labelled id
 NEIGHBOURS = 15
 BLOCK = 64
 _NEAR = 0.05
@@ -405,7 +407,8 @@ def _document_frequencies(docs: DataFrame, shared) -> tuple[np.ndarray, int]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> ToxicityModel:
-    """Examples are the documents of up to ``examples`` rows of ``labels`` (``doc_id``, ``label``)."""
+    """Examples are the documents of up to ``examples`` ids in ``labels`` (``doc_id``, ``label``), up to
+    ``TEXTS_OF_ID`` different texts for each."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     chosen = (
@@ -413,7 +416,12 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
     )
     chosen = spool(chosen, "toxicity-labels")  # at most ``examples`` pairs of numbers
-    sample = spool(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text"), "toxicity-examples")
+    found = docs.join(F.broadcast(chosen), "doc_id").withColumn("hash", F.xxhash64("text"))
+    # Summed before the shuffle, so that an id with many rows does not land in one task.
+    sample = found.groupBy("doc_id", "label", F.pmod("hash", F.lit(TEXTS_OF_ID)).alias("part")).agg(
+        F.min(F.struct("hash", "text")).alias("first")
+    )
+    sample = spool(sample.select("doc_id", "label", "first.text"), "toxicity-examples")
     words, n_toxic = _vocabulary(sample, terms)
     places = {w: i for i, w in enumerate(words)}
     shared = spark.sparkContext.broadcast(places)
@@ -431,9 +439,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
             )
 
     rows = sample.mapInArrow(vectors, "doc_id long, label int, terms array<int>, counts array<int>")
-    # Ids are unique in ``chosen``; rows that repeat one could be more than asked for.
-    kept = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples).toArrow()
-    model = _model(n_toxic, idf, kept)
+    model = _model(n_toxic, idf, rows.toArrow().sort_by("doc_id"))
     examples_shared = spark.sparkContext.broadcast(model)
     return ToxicityModel(shared, examples_shared, _calibrate(spark, examples_shared, model.labels))
 

@@ -101,6 +101,15 @@ def test_toxicity_looks_at_every_word(spark):
     assert max(rows[100].toxicity, rows[101].toxicity) < 0.2 < 0.5 < rows[102].toxicity
 
 
+def test_repeated_ids_leave_room_for_others(spark):
+    docs, labels = labelled(spark)
+    hot = spark.range(3000).selectExpr("7L AS doc_id", "concat('plain text ', id % 50) AS text")
+    model = toxicity.learn(docs.where("doc_id != 7").unionByName(hot), labels, examples=100)
+    ids = model._shared.value.ids
+    assert set(ids) == set(range(60)) and 1 < ids.count(7) <= toxicity.TEXTS_OF_ID
+    assert all(ids.count(i) == 1 for i in range(60) if i != 7)
+
+
 def test_whole_texts_are_exact():
     rng = np.random.default_rng(5)
     dense = (rng.random((300, 80)) < rng.random(80) ** 4) * rng.random((300, 80))
