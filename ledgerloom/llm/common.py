@@ -59,9 +59,9 @@ def lower_ascii(text: Column) -> Column:
 
 def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a column that tells its rows apart and stays the same when they are read
-    again: file and position in the file. What is not read from files is written first."""
+    again: path of the file and position in it. What is not read from files is written first."""
     name = unused(docs, "_row")
-    key = F.struct("_metadata.file_name", "_metadata.row_index").alias(name)
+    key = F.struct("_metadata.file_path", "_metadata.row_index").alias(name)
     try:
         return docs.select("*", key), name
     except AnalysisException:

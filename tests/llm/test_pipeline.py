@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 
 import corpus_pipeline as cp
+import pytest
 from conftest import SMALL
 from llm.conftest import CLASHING, LONG
 from pyspark.sql import functions as F
@@ -51,3 +52,15 @@ def test_run(spark, tmp_path):
     ids = {r.doc_id for r in rows}
     assert 5000 not in ids and 5001 not in ids and len(ids) == len(rows) > 100
     assert all(r.round_trip and r.n_tokens == len(r["ids"]) for r in rows)
+
+
+@pytest.mark.parametrize("drop", [cp.drop_copies, cp.drop_near_copies])
+def test_partitioned_tables_keep_their_rows(spark, tmp_path, drop):
+    """Files in folders of a partitioned table may have one name."""
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    rows = [(i, " ".join(f"{w}{i * 31 % 97}{n}" for n, w in enumerate(words * 5)), f"l{i % 4}") for i in range(40)]
+    rows.append((99, rows[0][1], "l0"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    docs.write.partitionBy("lang").parquet(str(tmp_path / "docs"))
+    got = drop(spark, spark.read.parquet(str(tmp_path / "docs")), SMALL)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(40))
