@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import re
 import tempfile
 import uuid
@@ -69,7 +70,24 @@ def spool(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     delete_at_exit(spark, path)
     _spooled.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._spooled_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete spooled tables that nothing reads any more, and let Spark drop the shuffle files of
+    frames that are gone, so that a long job holds on disk only what its next steps read."""
+    for table in tables:
+        spark, path = table.sparkSession, table._spooled_at
+        mine = _spooled.get(spark.sparkContext.applicationId, [])
+        if path in mine:
+            mine.remove(path)
+        files, place = hadoop_path(spark, path)
+        files.delete(place, True)
+    gc.collect()
+    for spark in {t.sparkSession for t in tables}:
+        spark._jvm.System.gc()
 
 
 def clear_spools(spark: SparkSession, after: int = 0) -> int:
