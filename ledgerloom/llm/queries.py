@@ -1,4 +1,4 @@
-"""The ten operators on the test tables, and their SQL counterparts."""
+"""The operators on the test tables, and their SQL counterparts."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    bpe, chat_format, decontaminate, exact_dedup, quality, sharding, simhash, token_store, toxicity,
-    url_filter,
+    bpe, chat_format, decontaminate, exact_dedup, filter_audit, hard_negatives, quality, sharding, simhash,
+    suffix_dedup, token_store, toxicity, url_filter,
 )
 from ledgerloom.llm.common import documents, fold, table, prepare
 from ledgerloom.session import spool
@@ -142,6 +142,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("url")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    clean = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return clean.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some labels are changed first, so that near vectors may have different ones."""
+    prepare(spark)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -152,7 +174,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_store, op2_extendible_shards, op3_decontaminate, op4_chat_format, op5_bpe, op6_toxicity,
-        op7_exact_dedup, op8_quality, op9_simhash, op10_url_filter, pipeline,
+        op7_exact_dedup, op8_quality, op9_simhash, op10_url_filter, op11_suffix_dedup, op12_filter_audit,
+        op13_hard_negatives, pipeline,
     )
 }
 
@@ -162,4 +185,7 @@ ORACLES: dict[str, str] = {
     "op4_chat_format": chat_format.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op10_url_filter": url_filter.oracle(URL_RULES),
+    "op11_suffix_dedup": suffix_dedup.oracle(),
+    "op12_filter_audit": filter_audit.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
