@@ -49,11 +49,11 @@ def rfm_base(
 
 
 def _quartile_edges(base: DataFrame, columns: list[str]) -> dict[str, list[float]]:
-    """All five quartile edges of each column, from one distributed pass over the values."""
+    """All five quartile edges of each column of a stored table."""
     values = base.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "feature", "value"
     )
-    rows = ordered.quantiles(values, "value", _QUARTILES, by=["feature"]).collect()
+    rows = ordered.quantiles(values, "value", _QUARTILES, by=["feature"], stored=True).collect()
     return {r["feature"]: list(r["quantiles"]) for r in rows}
 
 

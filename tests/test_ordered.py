@@ -151,3 +151,44 @@ def test_histogram_by_group_and_single_value(spark):
         ("a", 0): 1, ("a", 1): 1, ("b", 0): 0, ("b", 1): 2,
     }
     assert rows["b", 0]["bin_low"] == 4.5 and rows["b", 1]["bin_high"] == 5.5
+
+
+@pytest.mark.parametrize("collected", [10_000, 20])
+def test_selection_in_rounds(spark, monkeypatch, collected):
+    """Brackets are narrowed until they are short; half of the rows share a value, NaN is left out."""
+    monkeypatch.setattr(ordered, "COLLECTED", collected)
+    rng = random.Random(3)
+    rows = [("a" if i % 5 else "b", 0.0 if i % 2 else rng.gauss(0, 30)) for i in range(30_000)]
+    rows += [("a", float("inf")), ("a", float("-inf")), ("c", float("nan")), ("c", 1.0), ("c", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    probs = [0.0, 0.0001, 0.2, 0.25, 0.5, 0.7501, 0.95, 1.0]
+    got = {r["g"]: list(r["quantiles"]) for r in ordered.quantiles(df, "v", probs, by=["g"]).collect()}
+    for g in "ab":
+        values = sorted(v for group, v in rows if group == g)
+        for p, found in zip(probs, got[g]):
+            at = p * (len(values) - 1)
+            low, high = values[int(at)], values[-int(-at // 1)]
+            assert found == (low if low == high else pytest.approx(low + (high - low) * (at % 1)))
+    assert got["c"][0] == 1.0 and got["c"][-1] == 2.0
+
+
+@pytest.mark.parametrize("collected", [10_000, 50])
+def test_rank_cuts_in_rounds(spark, monkeypatch, collected):
+    monkeypatch.setattr(ordered, "COLLECTED", collected)
+    monkeypatch.setattr(ordered, "SAMPLE", 200)
+    rng = random.Random(4)
+    rows = [(1 + (i % 7 == 0), f"é{rng.randrange(10**6):06d}x{i}") for i in range(8_000)]
+    df = spark.createDataFrame(rows, "f int, id string").repartition(5)
+    ranked = sorted(rows)
+    for buckets in (4, 9):
+        ends = [int(1 + (len(rows) - 1) * k / buckets) for k in range(1, buckets)]
+        assert ordered.first_rank_cuts(df, ["f", "id"], buckets) == [ranked[e - 1] for e in ends]
+
+
+def test_rank_cuts_of_nothing(spark):
+    assert ordered.first_rank_cuts(spark.createDataFrame([], "f int, id string"), ["f", "id"]) == []
+
+
+def test_no_sort_and_no_window_over_a_bracket(spark):
+    plan = ordered.quantiles(hot_frame(spark)[0], "v", [0.25, 0.5], by=["g"])._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Sort [" not in plan
