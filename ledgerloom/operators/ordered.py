@@ -317,7 +317,7 @@ def _select_keys(df: DataFrame, group: str, key: str, places: list[_Place]) -> l
         asked, ends = [], []
         for i, p in enumerate(going):
             keys = sorted(r[i] for r in drawn if r[i] is not None)
-            middle, margin = p.position / p.size * len(keys), 2 * len(keys) ** 0.5 + 2
+            middle, margin = p.position / p.size * len(keys), 1.5 * len(keys) ** 0.5 + 1
             a, b = int(middle - margin), int(middle + margin) + 1
             low = keys[a] if middle >= margin and keys else p.low
             high = keys[b] if b < len(keys) else p.high
@@ -326,7 +326,7 @@ def _select_keys(df: DataFrame, group: str, key: str, places: list[_Place]) -> l
             # NULL where there is no end: then nothing lies beyond it.
             new_low, new_high = low is not None and low != p.low, high is not None and high != p.high
             mine, k = p.rows(group, key), F.col(key)
-            short = (b - a) / max(1, len(keys)) * p.size * 2 <= COLLECTED or not keys
+            short = (b - a) / max(1, len(keys)) * p.size <= COLLECTED or not keys
             asked += [
                 F.count_if(mine & (k < F.lit(low))) if new_low else F.lit(0),
                 F.count_if(mine & (k == F.lit(low))) if new_low else F.lit(0),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +60,17 @@ def _quartile_edges(base: DataFrame, columns: list[str]) -> dict[str, list[float
     return {r["feature"]: list(r["quantiles"]) for r in rows}
 
 
+def _edges_and_cuts(
+    base: DataFrame, columns: list[str], customer_col: str
+) -> tuple[dict[str, list[float]], Column]:
+    """Quartile edges of ``columns`` and the frequency score by rank, found at the same time."""
+    run = inheritable_thread_target(base.sparkSession)
+    with ThreadPoolExecutor(2) as pool:
+        edges = pool.submit(run(_quartile_edges), base, columns)
+        score = pool.submit(run(_rank_score), base, customer_col)
+        return edges.result(), score.result()
+
+
 def _inner(edges: dict[str, list[float]], column: str) -> list[float]:
     """The three inner edges; coinciding edges leave a score undefined."""
     found = edges.get(column, [])
@@ -83,15 +97,17 @@ def score_by_quartiles(
     if ties not in ("value", "rank"):
         raise ValueError(f"unknown ties policy: {ties}")
     base = spool(base, "rfm")
-    edges = _quartile_edges(base, ["recency", "frequency", "monetary"])
+    if ties == "rank":
+        edges, frequency_score = _edges_and_cuts(base, ["recency", "monetary"], customer_col)
+    else:
+        edges = _quartile_edges(base, ["recency", "frequency", "monetary"])
+        frequency_score = ordered.quantile_score("frequency", _inner(edges, "frequency"))
     scored = base.withColumns(
         {
             "recency_score": ordered.quantile_score(
                 "recency", _inner(edges, "recency"), best_low=True
             ),
-            "frequency_score": _rank_score(base, customer_col)
-            if ties == "rank"
-            else ordered.quantile_score("frequency", _inner(edges, "frequency")),
+            "frequency_score": frequency_score,
             "monetary_score": ordered.quantile_score("monetary", _inner(edges, "monetary")),
         }
     ).withColumn(
@@ -104,11 +120,11 @@ def score_by_quartiles(
 def score_by_rules(base: DataFrame, customer_col: str = "customer_id") -> DataFrame:
     """R, F and M scores (frequency by rank), their sum and the four-way rule segment."""
     base = spool(base, "rfm")
-    edges = _quartile_edges(base, ["recency", "monetary"])
+    edges, frequency_score = _edges_and_cuts(base, ["recency", "monetary"], customer_col)
     scored = base.withColumns(
         {
             "R": ordered.quantile_score("recency", _inner(edges, "recency"), best_low=True),
-            "F": _rank_score(base, customer_col),
+            "F": frequency_score,
             "M": ordered.quantile_score("monetary", _inner(edges, "monetary")),
         }
     ).withColumn("rfm_score", F.col("R") + F.col("F") + F.col("M"))

@@ -172,7 +172,7 @@ def test_selection_in_rounds(spark, monkeypatch, collected):
     assert got["c"][0] == 1.0 and got["c"][-1] == 2.0
 
 
-@pytest.mark.parametrize("collected", [10_000, 50])
+@pytest.mark.parametrize("collected", [10_000, 400])
 def test_rank_cuts_in_rounds(spark, monkeypatch, collected):
     monkeypatch.setattr(ordered, "COLLECTED", collected)
     monkeypatch.setattr(ordered, "SAMPLE", 200)
