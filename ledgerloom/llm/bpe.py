@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 # Bounds of the caches of one Python worker, in entries. A full cache becomes the old generation,
 # from which entries still in use move to the new one.
 CACHED_CHUNKS = 50_000
-CACHED_PIECES = 350_000
-CACHED_PAIRS = 500_000
+CACHED_PIECES = 150_000
+CACHED_PAIRS = 300_000
 DECODED_AT_ONCE = 1 << 18
 
 # Texts of these characters only are cut by the pattern below, all others by the library's
@@ -111,7 +111,7 @@ class BytePairCodec:
         self._known = {s: self._id[t] for s, t in known.items()}
         self._automaton = ahocorasick.Automaton()
         for s, t in known.items():
-            self._automaton.add_word(s, (t, len(s) - 1))
+            self._automaton.add_word(s, t)
         self._automaton.make_automaton()
         self._shorter = [
             next((known[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in known), -1)
@@ -222,13 +222,13 @@ class BytePairCodec:
 
     def _backtrack(self, piece: str) -> list[int]:
         sizes, shorter, pairs, compatible = self._size, self._shorter, self._pairs, self._compatible
-        length = len(piece)
-        longest = [0] * length
-        for end, (token, before) in self._automaton.iter(piece):
-            longest[end - before] = token  # later ends are longer matches
+        length, matches = len(piece), self._automaton.iter_long
         closed = set()  # positions that no encoding passes
         tokens: list[int] = []
-        last, at, token = -1, 0, longest[0]
+        last, at = -1, 0
+        # One longest match behind the other, as long as each is taken as it is.
+        following = matches(piece)
+        token = next(following)[1]
         while True:
             end = at + sizes[token]
             if end not in closed:
@@ -243,8 +243,12 @@ class BytePairCodec:
                     tokens.append(token)
                     if end == length:
                         return tokens
-                    last, at, token = token, end, longest[end]
+                    last, at = token, end
+                    if following is None:
+                        following = matches(piece, end)
+                    token = next(following)[1]
                     continue
+            following = None
             token = shorter[token]
             while token < 0:
                 closed.add(at)
