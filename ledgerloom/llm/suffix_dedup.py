@@ -40,7 +40,7 @@ from ledgerloom.session import release, spool
 LENGTH = 200
 GRAM = 32
 # Bytes of passages in a shard; a name with more than a quarter of it is spread.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 # Window starts that are looked at together.
 PIECE = 1 << 21
 # Windows in a task of the merge across shards.
@@ -134,38 +134,36 @@ def suffix_array(data: np.ndarray, left: np.ndarray) -> np.ndarray:
     symbols is ordered by the rank of what follows them, which doubles the depth.
     """
     n = len(data)
-    symbols = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
-    first = np.zeros(n, np.uint64)
-    for j in range(7):
-        first = (first << np.uint64(9)) | np.where(left > j, symbols[j:n + j], np.uint64(0))
-    order = np.argsort(first)
-    slots, keys, depth = np.arange(n), first[order], 7
-    rank = np.empty(n, np.int64)
-    following = np.zeros(n + 1, np.int64)
-    while True:
-        opens = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, bool)
-        heads = np.flatnonzero(opens)
-        group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(keys))))
-        rank[order[slots]] = slots[heads][group]
-        tied = np.bincount(group, minlength=len(heads))[group] > 1 if len(keys) else opens
-        slots = slots[tied]
-        at = order[slots]
+    left = left.astype(np.int32)
+    one = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
+    two = (one[:-1] << np.uint64(9)) | one[1:]
+    four = (two[:-2] << np.uint64(18)) | two[2:]
+    first = (four[:n] << np.uint64(27)) | (two[4:n + 4] << np.uint64(9)) | one[6:n + 6]
+    # Nothing comes behind the end of a string.
+    behind = (9 * (7 - np.minimum(left, 7))).astype(np.uint64)
+    first = (first >> behind) << behind
+    order = np.argsort(first).astype(np.int32)
+    slots, at, keys, depth = np.arange(n, dtype=np.int32), order, first[order], 7
+    rank = np.empty(n, np.int32)
+    while len(keys):
+        opens = np.ones(len(keys), bool)
+        opens[1:] = keys[1:] != keys[:-1]
+        # The rank of a group is its first slot.
+        rank[at] = np.maximum.accumulate(np.where(opens, slots, 0))
         # Suffixes that have ended cannot be told apart any more.
-        open_ = left[at] >= depth
-        slots, at = slots[open_], at[open_]
-        if not len(slots):
-            break
-        following[:n] = rank + 1
-        keys = rank[at] * (n + 1) + np.where(left[at] > depth, following[np.minimum(at + depth, n)], 0)
+        tied = (~(opens & np.append(opens[1:], True))) & (left[at] >= depth)
+        slots, at = slots[tied], at[tied]
+        behind = np.where(left[at] > depth, rank[np.minimum(at + depth, n - 1)] + 1, 0)
+        keys = rank[at].astype(np.int64) * (n + 1) + behind
         by = np.argsort(keys)
-        order[slots], keys = at[by], keys[by]
+        at, keys = at[by], keys[by]
+        order[slots] = at
         depth *= 2
     by_rank = rank[order]
-    same = np.concatenate([by_rank[1:] == by_rank[:-1], [False]])
+    same = np.append(by_rank[1:] == by_rank[:-1], False) if n else np.zeros(0, bool)
     same[1:] |= same[:-1].copy()
-    equal = np.flatnonzero(same)
-    ends = order[equal]
-    order[equal] = ends[np.argsort(rank[ends] * (n + 1) + ends)]
+    ends = order[same]
+    order[same] = ends[np.argsort(rank[ends].astype(np.int64) * (n + 1) + ends)]
     return order
 
 
