@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.segments import CLUSTER_NAMES
-from ledgerloom.operators import ordered
+from ledgerloom.operators import kmeans, ordered
 from ledgerloom.operators import orders as op
 from ledgerloom.plans import (
     clusters, demand, eda, etl, experiments, forecast, reports, rfm, scoring,
 )
 from ledgerloom.session import delete_at_exit, scratch_root, spool
 from ledgerloom.sources import benchmark_tables as bench
-from ledgerloom.sources import raw_files, tables
+from ledgerloom.sources import artifacts, raw_files, tables
 from ledgerloom.streaming import requests as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -586,12 +586,69 @@ def customer_segments(spark, folder):
 
 @query
 def experiment_report(spark, folder):
-    """Metrics and decisions of the experiment in long form, written as CSV and read."""
-    units = spool(_units(spark, folder), "units")
-    tests = experiments.run_tests(units).select(
-        F.col("test").alias("section"), "control_value", "test_value", "lift_pct", "p_value", "decision"
+    """Metrics, decisions and sample size of the experiment in long form, written as CSV and read."""
+    found = experiments.report(spool(_units(spark, folder), "units"))
+    return _written_and_read(
+        spark, _rounded(found, control_value=6, test_value=6), "experiment_report", "csv"
+    )
+
+
+@query
+def demand_job(spark, folder):
+    """The whole demand job: the trained model is published with its metrics, read back, and its
+    forecast is written as CSV and read."""
+    panel, trained = _training(spark, folder)
+    root = f"{scratch_root(spark)}/demand-{uuid.uuid4().hex}"
+    delete_at_exit(spark, root)
+    best = trained.leaderboard.where("is_best").first().asDict()
+    artifacts.publish_model(spark, root, trained.model, best, demand.FEATURES)
+    model, version = artifacts.current_model(spark, root)
+    rows = forecast.forecast(panel.features, model).withColumn("model", F.lit(version.details["metrics"]["model"]))
+    return _written_and_read(spark, rows, "demand_forecast", "csv")
+
+
+@query
+def cluster_job(spark, folder):
+    """The whole segmentation job: the model is published with its curve and read back, and the
+    summary of the clusters it gives is written as CSV and read."""
+    found = _clustering(spark, folder)
+    root = f"{scratch_root(spark)}/clusters-{uuid.uuid4().hex}"
+    delete_at_exit(spark, root)
+    curve = {str(r["k"]): r["silhouette"] for r in found.selection.collect()}
+    artifacts.publish_model(spark, root, found.model, {"k": found.best_k, "silhouettes": curve}, clusters.MEASURES)
+    model, version = artifacts.current_model(spark, root)
+    summary = clusters.cluster_profile(model.transform(_rfm_base(spark, folder)))
+    summary = summary.withColumn("k", F.lit(version.details["metrics"]["k"]))
+    return _written_and_read(spark, summary, "cluster_summary", "csv")
+
+
+def _etl(spark, folder) -> tuple[str, tables.EtlRun]:
+    def run():
+        root = f"{scratch_root(spark)}/etl-{uuid.uuid4().hex}"
+        delete_at_exit(spark, root)
+        return root, tables.run_etl(spark, bench.domain_tables(spark, folder), root, ties="rank")
+
+    return _shared_fit("etl", spark, folder, run)
+
+
+@query
+def etl_record(spark, folder):
+    """What the ETL counted while it ran."""
+    record = _etl(spark, folder)[1].record
+    return spark.createDataFrame(sorted(record.items()), "counted string, n long")
+
+
+@query
+def stored_master_by_sql(spark, folder):
+    """Plain SQL over the stored tables where they lie."""
+    root, _ = _etl(spark, folder)
+    name = f"stored_{uuid.uuid4().hex}"
+    tables.register_external(spark, root, ["master", "orders"], name)
+    return spark.sql(
+        f"SELECT m.year, m.month, COUNT(*) AS n, CAST(SUM(m.is_late) AS BIGINT) AS late "
+        f"FROM {name}.master m JOIN {name}.orders o ON m.order_id = o.order_id "
+        f"WHERE m.year BETWEEN 1993 AND 1996 GROUP BY m.year, m.month"
     )
-    return _written_and_read(spark, tests, "experiment_report", "csv")
 
 
 @query
@@ -677,6 +734,24 @@ def scaled_measures(spark, folder):
     )
 
 
+FIXED_CENTRES = [[-0.8, 0.9, 1.1], [0.3, -0.2, -0.1], [1.7, -1.1, -1.3]]
+
+
+@query
+def fixed_centre_clusters(spark, folder):
+    """Clusters by given centres in standardised units, and their squared distances."""
+    base = spool(_rfm_base(spark, folder), "rfm")
+    values = [F.col(c).cast("double") for c in clusters.MEASURES]
+    found = base.agg(*[f(v) for v in values for f in (F.avg, F.stddev_pop)]).first()
+    stage = clusters.cluster_stage(found[0::2], found[1::2], FIXED_CENTRES)
+    scaled = [(v - m) / d for v, m, d in zip(values, found[0::2], found[1::2])]
+    nearest = F.array_min(kmeans.squared_distances(scaled, FIXED_CENTRES))
+    clustered = stage.transform(base.withColumn("distance", nearest))
+    return _rounded(
+        clustered.groupBy("cluster").agg(F.count("*").alias("customers"), F.sum("distance").alias("inertia")), inertia=6
+    )
+
+
 @query
 def rule_cluster_profile(spark, folder):
     """Profile and spend order of clusters given by a rule on the key, named by mean spend."""

@@ -636,3 +636,52 @@ ORACLES["fixed_model_scores"] = f"""WITH {_CUSTOMERS}, requests AS ({ORACLES["re
     CASE WHEN error IS NULL
       THEN 'Based on Random Forest / Gradient Boosting model' END AS confidence_note, error
   FROM requests LEFT JOIN states USING (state)"""
+
+_UNITS_QUERY = f"WITH {_UNITS} SELECT * FROM units WHERE variant IS NOT NULL"
+
+_SAMPLE_SIZE = f"""WITH {_UNITS}, rates AS (
+    SELECT count(*) FILTER (variant = 'control') AS n_control, count(*) FILTER (variant = 'test') AS n_test,
+      sum(converted) FILTER (variant = 'control') / count(*) FILTER (variant = 'control') AS p FROM units), steps AS (
+    SELECT *, p + 0.02 AS q, p + 0.01 AS mid FROM rates)
+  SELECT n_control, n_test, CAST(ceil(pow(1.959963984540054 * sqrt(2 * mid * (1 - mid))
+    + 0.8416212335729143 * sqrt(p * (1 - p) + q * (1 - q)), 2) / 0.0004) AS BIGINT) AS required_n FROM steps"""
+
+_RAW_COUNTS = """SELECT 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'items', count(*) FROM lineitem
+  UNION ALL SELECT 'payments', count(*) FROM lineitem UNION ALL SELECT 'customers', count(*) FROM customer
+  UNION ALL SELECT 'reviews', count(*) FILTER (o_orderkey % 100 <> 0) + count(*) FILTER (o_orderkey % 50 = 1) FROM orders"""
+
+# Only the numbers that the queries above find in the stored tables, and the raw rows behind them.
+ORACLES["etl_record"] = f"""WITH o AS ({ORACLES["processed_orders"]}), i AS ({ORACLES["processed_items"]}),
+  p AS ({ORACLES["payments_per_order"]}), m AS ({ORACLES["master"]}), r AS ({ORACLES["rfm_base"]}),
+  raw AS ({_RAW_COUNTS})
+  SELECT 'orders_rows' AS counted, count(*) AS n FROM o UNION ALL SELECT 'items_rows', count(*) FROM i
+  UNION ALL SELECT 'payments_rows', count(*) FROM p UNION ALL SELECT 'master_rows', count(*) FROM m
+  UNION ALL SELECT 'rfm_rows', count(*) FROM r UNION ALL SELECT 'duplicate_customers', 0
+  UNION ALL SELECT 'raw_' || name || '_rows', n FROM raw
+  UNION ALL SELECT 'raw_' || name || '_without_key', 0 FROM raw"""
+
+ORACLES["stored_master_by_sql"] = f"""SELECT * FROM ({ORACLES["stored_master_by_month"]})
+  WHERE year BETWEEN 1993 AND 1996"""
+
+ORACLES["fixed_centre_clusters"] = f"""WITH {_RFM}, moments AS (
+  SELECT avg(recency) AS mr, stddev_pop(recency) AS sr, avg(frequency) AS mf, stddev_pop(frequency) AS sf,
+    avg(monetary) AS mm, stddev_pop(monetary) AS sm FROM rfm), far AS (
+  SELECT customer_id, number, ((recency - mr) / sr - a) ** 2 + ((frequency - mf) / sf - b) ** 2
+    + ((monetary - mm) / sm - c) ** 2 AS distance
+  FROM rfm, moments, (VALUES (0, -0.8, 0.9, 1.1), (1, 0.3, -0.2, -0.1), (2, 1.7, -1.1, -1.3)) t(number, a, b, c)), near AS (
+  SELECT customer_id, min_by(number, distance) AS cluster, min(distance) AS distance FROM far GROUP BY customer_id)
+  SELECT cluster, count(*) AS customers, round(sum(distance), 6) AS inertia FROM near GROUP BY cluster"""
+
+ORACLES["experiment_report"] = f"""WITH m AS (SELECT variant, unnest([
+    {{'name': 'users', 'value': CAST(users AS DOUBLE)}}, {{'name': 'conversions', 'value': CAST(conversions AS DOUBLE)}},
+    {{'name': 'total_revenue', 'value': total_revenue}}, {{'name': 'avg_revenue', 'value': avg_revenue}},
+    {{'name': 'conversion_rate', 'value': conversions / users}}, {{'name': 'revenue_per_user', 'value': total_revenue / users}}
+  ], recursive := true) FROM (SELECT variant, count(user_id) AS users, sum(converted) AS conversions,
+    sum(revenue) AS total_revenue, avg(revenue) AS avg_revenue FROM ({_UNITS_QUERY}) GROUP BY variant)), sides AS (
+  SELECT name, max(value) FILTER (variant = 'control') AS c, max(value) FILTER (variant = 'test') AS t FROM m GROUP BY name),
+  sizes AS ({_SAMPLE_SIZE})
+  SELECT 'Metric: ' || name AS section, round(c, 6) AS control_value, round(t, 6) AS test_value,
+    round_even(100 * (t - c) / c, 2) AS lift_pct, CAST(NULL AS DOUBLE) AS p_value, CAST(NULL AS VARCHAR) AS decision FROM sides
+  UNION ALL SELECT test, round(control_value, 6), round(test_value, 6), lift_pct, p_value, decision FROM ({ORACLES["ab_tests"]})
+  UNION ALL SELECT 'Sample size, required: ' || required_n, CAST(n_control AS DOUBLE), CAST(n_test AS DOUBLE), NULL, NULL,
+    CASE WHEN least(n_control, n_test) >= required_n THEN 'ENOUGH' ELSE 'TOO FEW' END FROM sizes"""

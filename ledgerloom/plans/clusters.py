@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import even_round
 from ledgerloom.functions.segments import CLUSTER_NAMES
+from ledgerloom.operators import kmeans
 from ledgerloom.session import spool
 
 MEASURES = ("recency", "frequency", "monetary")
@@ -28,6 +26,7 @@ class Clustering:
     profile: DataFrame
     model: PipelineModel
     best_k: int
+    passes: int = 0
 
 
 def label_stage(names: dict[int, str]) -> SQLTransformer:
@@ -38,6 +37,14 @@ def label_stage(names: dict[int, str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {label} AS cluster_label FROM __THIS__")
 
 
+def cluster_stage(
+    means: Sequence[float], deviations: Sequence[float], centres: Sequence[Sequence[float]]
+) -> SQLTransformer:
+    """Number of the nearest centre as a pipeline stage; centres are in standardised units."""
+    scaled = [f"((CAST({c} AS DOUBLE) - ({m!r}D)) / {d!r}D)" for c, m, d in zip(MEASURES, means, deviations)]
+    return SQLTransformer(statement=f"SELECT *, {kmeans.nearest_sql(scaled, centres)} AS cluster FROM __THIS__")
+
+
 def mean_spend(clustered: DataFrame) -> DataFrame:
     return (
         clustered.groupBy("cluster")
@@ -66,60 +73,42 @@ def cluster_customers(
     ks: Iterable[int] = range(2, 9),
     restarts: int = 10,
     seed: int = 42,
-    parallelism: int = 4,
     max_iterations: int = 300,
 ) -> Clustering:
     """Try each ``k`` with several starts, keep the one with the best silhouette, name clusters.
 
-    ``selection`` holds the curve per k. ``inertia`` is in units of the population deviation
-    (MLlib scales by the sample one); ``silhouette`` uses squared Euclidean distance, which
-    MLlib computes without comparing pairs of rows. Clusters are named in ascending order of
-    mean spend; with more clusters than names, the highest ones stay unnamed.
+    All starts of all ``ks`` share the passes over the customers; ``passes`` says how many these
+    were. ``selection`` holds the curve per k: ``inertia`` in units of the population deviation,
+    and the mean ``silhouette`` by squared Euclidean distance, which follows from the clusters'
+    sums without comparing pairs of rows. Clusters are named in ascending order of mean spend;
+    with more clusters than names, the highest ones stay unnamed. Customers without one of the
+    measures take no part in training and get no cluster.
     """
     session = rfm.sparkSession
     rfm = spool(rfm, "rfm")
-    scaling = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(MEASURES), outputCol="measures"),
-            StandardScaler(inputCol="measures", outputCol="scaled", withMean=True),
-        ]
-    ).fit(rfm)
-    scaled = scaling.transform(rfm).select("scaled").persist(StorageLevel.MEMORY_AND_DISK)
-    n = scaled.count()
-    quality = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster")
-
-    def fit(k: int, restart: int):
-        return KMeans(
-            k=k, seed=seed + restart, maxIter=max_iterations, featuresCol="scaled",
-            predictionCol="cluster",
-        ).fit(scaled)
-
-    ks = list(ks)
+    values = [F.col(c).cast("double") for c in MEASURES]
+    complete = rfm.where(" AND ".join(f"{c} IS NOT NULL" for c in MEASURES))
+    found = complete.agg(*[f(v) for v in values for f in (F.avg, F.stddev_pop)]).first()
+    means = [float(m or 0.0) for m in found[0::2]]
+    # A measure that does not vary is zero everywhere.
+    deviations = [float(d or 1.0) for d in found[1::2]]
+    scaled = [((v - m) / d).alias(c) for c, v, m, d in zip(MEASURES, values, means, deviations)]
+    # Lost partitions are computed again from the written table.
+    points = complete.select(*scaled, F.xxhash64("customer_id").alias(kmeans.KEY)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            run = inheritable_thread_target(session)
-            jobs = {k: [pool.submit(run(fit), k, r) for r in range(restarts)] for k in ks}
-            best = {
-                k: min((j.result() for j in js), key=lambda m: m.summary.trainingCost)
-                for k, js in jobs.items()
-            }
-            scores = {
-                k: pool.submit(run(lambda m: quality.evaluate(m.transform(scaled))), m)
-                for k, m in best.items()
-            }
-            curve = [
-                (k, best[k].summary.trainingCost * n / max(n - 1, 1), scores[k].result())
-                for k in ks
-            ]
+        sweep = kmeans.sweep(points, MEASURES, ks, restarts, seed, max_iterations)
     finally:
-        scaled.unpersist()
+        points.unpersist()
+    curve = [(k, s.cost, float(sweep.silhouettes[k])) for k, s in sorted(sweep.best.items())]
+    if not curve:
+        raise ValueError("there are no customers to cluster")
     best_k = max(curve, key=lambda row: row[2])[0]
-    unnamed = PipelineModel([*scaling.stages, best[best_k]])
-    order = [r["cluster"] for r in mean_spend(unnamed.transform(rfm)).collect()]
+    nearest = cluster_stage(means, deviations, sweep.best[best_k].centres.tolist())
+    order = [r["cluster"] for r in mean_spend(nearest.transform(complete)).collect()]
     names = dict(zip(order, CLUSTER_NAMES[:best_k]))
-    model = PipelineModel([*unnamed.stages, label_stage(names)])
-    customers = model.transform(rfm).drop("measures", "scaled")
+    model = PipelineModel([nearest, label_stage(names)])
+    customers = model.transform(rfm)
     selection = session.createDataFrame(curve, "k int, inertia double, silhouette double")
     return Clustering(
-        customers, selection.orderBy("k"), cluster_profile(customers), model, best_k
+        customers, selection.orderBy("k"), cluster_profile(customers), model, best_k, sweep.passes
     )

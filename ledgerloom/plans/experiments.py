@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import clip_above, even_round, percent, ratio
@@ -23,7 +23,7 @@ from ledgerloom.functions.pvalues import (
 )
 from ledgerloom.operators import ordered
 from ledgerloom.operators.histogram import histogram
-from ledgerloom.session import spool
+from ledgerloom.session import hadoop_path, spool
 
 ALPHA = 0.05
 
@@ -353,9 +353,53 @@ def revenue_histogram(units: DataFrame, bins: int = 50, share: float = 0.99) ->
     return histogram(clipped, "revenue", bins, by=["variant"])
 
 
+def report(units: DataFrame) -> DataFrame:
+    """The whole result of an experiment in long form: each metric and each test of both variants,
+    and the required against the observed sample size. Reads the units once for the metrics, twice
+    for the tests and once for the sample size."""
+    found = metrics(units)
+    names = [c for c in found.columns if c != "variant"]
+    long = found.select("variant", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        ["variant"], names, "name", "value"
+    )
+    none = F.lit(None).cast("double")
+    measured = long.groupBy("name").agg(
+        F.max(_in("control", F.col("value"))).alias("control_value"), F.max(_in("test", F.col("value"))).alias("test_value")
+    ).select(
+        F.concat(F.lit("Metric: "), F.col("name")).alias("section"), "control_value", "test_value",
+        even_round(100 * F.try_divide(F.col("test_value") - F.col("control_value"), F.col("control_value")), 2).alias("lift_pct"),
+        none.alias("p_value"), F.lit(None).cast("string").alias("decision"),
+    )
+    tested = run_tests(units).select(
+        F.col("test").alias("section"), "control_value", "test_value", "lift_pct", "p_value", "decision"
+    )
+    sizes = power_check(units).select(
+        F.concat(F.lit("Sample size, required: "), F.coalesce(F.col("required_n").cast("string"), F.lit("unknown"))).alias("section"),
+        F.col("n_control").cast("double").alias("control_value"), F.col("n_test").cast("double").alias("test_value"),
+        none.alias("lift_pct"), none.alias("p_value"),
+        F.when(F.col("enough") == 1, "ENOUGH").when(F.col("enough") == 0, "TOO FEW").alias("decision"),
+    )
+    return measured.unionByName(tested).unionByName(sizes)
+
+
 def kpi_records(table: DataFrame) -> DataFrame:
     """The metrics table as JSON records with the time of the read."""
     return table.select(
         F.to_json(F.struct(*table.columns)).alias("record"),
         F.current_timestamp().alias("last_updated"),
     )
+
+
+# Fixed value: what a reader of the metrics gets while there are none.
+NO_KPIS = "KPI data not found"
+
+
+def read_kpis(spark: SparkSession, path: str) -> DataFrame:
+    """``record``, ``last_updated`` and ``error``: the stored metrics, or, while no table lies at
+    ``path``, one row that says so."""
+    files, place = hadoop_path(spark, path)
+    if files.exists(place):
+        return kpi_records(spark.read.parquet(path)).withColumn("error", F.lit(None).cast("string"))
+    return spark.range(1).select(
+        F.lit(None).cast("string").alias("record"), F.current_timestamp().alias("last_updated"), F.lit(NO_KPIS).alias("error")
+    )

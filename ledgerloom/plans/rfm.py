@@ -100,14 +100,15 @@ def score_by_quartiles(
     if ties == "rank":
         edges, frequency_score = _edges_and_cuts(base, ["recency", "monetary"], customer_col)
     else:
-        edges = _quartile_edges(base, ["recency", "frequency", "monetary"])
-        frequency_score = ordered.quantile_score("frequency", _inner(edges, "frequency"))
+        edges, frequency_score = _quartile_edges(base, ["recency", "frequency", "monetary"]), None
     scored = base.withColumns(
         {
             "recency_score": ordered.quantile_score(
                 "recency", _inner(edges, "recency"), best_low=True
             ),
-            "frequency_score": frequency_score,
+            "frequency_score": ordered.quantile_score("frequency", _inner(edges, "frequency"))
+            if frequency_score is None
+            else frequency_score,
             "monetary_score": ordered.quantile_score("monetary", _inner(edges, "monetary")),
         }
     ).withColumn(

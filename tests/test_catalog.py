@@ -11,7 +11,7 @@ from ledgerloom.oracles import ORACLES
 
 # Results that no SQL text describes: fitted models and their scores.
 WITHOUT_SQL = {
-    "cluster_profile", "customer_segments", "experiment_report", "cluster_selection", "customer_clusters", "demand_forecast",
+    "cluster_profile", "cluster_job", "customer_segments", "demand_job", "cluster_selection", "customer_clusters", "demand_forecast",
     "demand_leaderboard", "feature_importance", "score_demand", "score_segment",
     "score_segment_stream",
 }

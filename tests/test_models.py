@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import segments
 from ledgerloom.operators.orders import derive_orders
 from ledgerloom.plans import clusters, demand, etl, forecast, rfm, scoring
+from ledgerloom.sources import artifacts
 from ledgerloom.sources.artifacts import load_model, save_model
 from ledgerloom.streaming import requests as stream
 
@@ -222,6 +223,16 @@ def test_models_survive_a_round_trip(trained, clustered, spark, tmp_path):
     assert loaded.transform(customers).where("cluster_label = 'Loyal'").count() == 30
 
 
+def test_published_models_come_back_with_their_metrics(trained, clustered, spark, tmp_path):
+    root = str(tmp_path)
+    artifacts.publish_model(spark, root, clustered.model, {"k": clustered.best_k}, clusters.MEASURES)
+    artifacts.publish_model(spark, root, trained[1].model, {"r2": 0.5}, demand.FEATURES)
+    model, version = artifacts.current_model(spark, root)
+    assert version.number == 2 and version.details == {"metrics": {"r2": 0.5}, "inputs": list(demand.FEATURES)}
+    again = forecast.forecast(trained[0].features, model).collect()
+    assert again == forecast.forecast(trained[0].features, trained[1].model).collect()
+
+
 def test_streamed_scores_equal_batch_scores(trained, clustered, spark, tmp_path):
     requests = (
         '{"request_id": "r1", "state": "AA", "month": 3, "year": 2018, "lag_1_orders": 12.5}\n'

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.operators import orders as op
 from ledgerloom.plans import etl, reports, rfm
-from ledgerloom.sources import raw_files, tables
+from ledgerloom.sources import artifacts, raw_files, tables, versions
 
 CSV = {
     "olist_orders_dataset": (
@@ -126,7 +126,7 @@ def test_etl_stores_what_it_computes(spark, raw, tmp_path):
         if name == "rfm":  # sums of doubles may differ in the last digit
             left, right = (d.withColumn("monetary", F.round("monetary", 6)) for d in (left, right))
         assert left.count() == right.count() and left.exceptAll(right).count() == 0
-    months = list((tmp_path / "master").glob("year=*/month=*"))
+    months = list(tmp_path.glob("version-*/master/year=*/month=*"))
     files = [len(list(m.glob("*.parquet"))) for m in months]
     assert len(files) == 80 and max(files) == 1  # rebalanced: no small files per task
     one_month = stored["master"].where("year = 1995 and month = 3")
@@ -172,3 +172,72 @@ def test_reports_and_exports_as_csv(spark, raw, tmp_path):
     assert back.columns == result.columns and back.count() == 3
     tables.write_export(raw["orders"], str(tmp_path / "orders"))
     assert tables.read_table(spark, str(tmp_path), "orders", "csv").count() == 1500
+
+
+def test_a_failed_run_leaves_the_tables_before(spark, raw, tmp_path, monkeypatch):
+    """The third write breaks: readers still see all five tables of the run before."""
+    root = str(tmp_path)
+    before = tables.run_etl(spark, raw, root)
+    sizes = {name: df.count() for name, df in before.items()}
+    assert before.record["raw_orders_rows"] == raw["orders"].count() and before.record["duplicate_customers"] == 0
+    assert {name: before.record[f"{name}_rows"] for name in sizes} == sizes
+    written, real = [], tables.write_table
+
+    def breaking(df, path, *rest):
+        written.append(path)
+        if len(written) == 3:
+            raise OSError("disk full")
+        real(df, path, *rest)
+
+    monkeypatch.setattr(tables, "write_table", breaking)
+    few = {**raw, "orders": raw["orders"].where("order_id < 100")}
+    with pytest.raises(OSError, match="disk full"):
+        tables.run_etl(spark, few, root)
+    monkeypatch.undo()
+    for name, n in sizes.items():
+        assert tables.read_table(spark, root, name).count() == n
+    assert versions.current(spark, root).number == 1 and len(list(tmp_path.glob("version-*"))) == 1
+    after = tables.run_etl(spark, few, root, ties="rank")
+    assert after.version.number == 2 and after["orders"].count() < sizes["orders"]
+    assert tables.read_table(spark, root, "orders").count() == after["orders"].count()
+    assert versions.forget(spark, root, keep=1) == 1 and len(list(tmp_path.glob("version-*"))) == 1
+    assert tables.read_table(spark, root, "orders").count() == after["orders"].count()
+
+
+def test_duplicate_customers_are_counted(spark, raw, tmp_path):
+    twice = {**raw, "customers": raw["customers"].union(raw["customers"].limit(3))}
+    run = tables.run_etl(spark, twice, str(tmp_path))
+    assert run.record["duplicate_customers"] == run["master"].count() - run["orders"].count() > 0
+
+
+def test_sql_over_files_where_they_lie(spark, raw, tmp_path):
+    """No second copy, months as partitions, and a new version or month is followed."""
+    root = str(tmp_path)
+    run = tables.run_etl(spark, raw, root)
+    files = {f for f in tmp_path.rglob("*.parquet")}
+    tables.register_external(spark, root, ["master", "orders"], "where_they_lie")
+    query = spark.sql("SELECT COUNT(*) AS n FROM where_they_lie.master WHERE year = 1995 AND month = 3")
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and {f for f in tmp_path.rglob("*.parquet")} == files
+    assert query.first()["n"] == run["master"].where("year = 1995 and month = 3").count() > 0
+    plain = tmp_path / "plain"
+    tables.write_processed({"master": run["master"].where("month < 3")}, str(plain))
+    tables.register_external(spark, str(plain), ["master"], "where_they_lie")
+    some = spark.table("where_they_lie.master").count()
+    month = run["master"].where("year = 1995 and month = 3").drop("year", "month")
+    month.write.parquet(str(plain / "master" / "year=1995" / "month=3"))
+    tables.register_external(spark, str(plain), ["master"], "where_they_lie")
+    assert spark.table("where_they_lie.master").count() == some + month.count()
+
+
+def test_commits_take_the_next_free_number(spark, tmp_path):
+    root = str(tmp_path)
+    assert versions.current(spark, root) is None
+    for n in (1, 2, 3):
+        folder = versions.stage(root)
+        spark.range(n).write.parquet(f"{folder}/t")
+        assert versions.commit(spark, root, folder, ["t"], {"n": n}).number == n
+    latest = versions.current(spark, root)
+    assert latest.details == {"n": 3} and spark.read.parquet(latest.path("t")).count() == 3
+    with pytest.raises(FileNotFoundError):
+        artifacts.current_model(spark, str(tmp_path / "none"))
