@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -58,6 +60,16 @@ def write_processed(
         write_table(df, f"{folder}/{name}", fmt, partition_by)
 
 
+def _delivered(found: Observation, seconds: float = 60.0) -> dict:
+    """The counts of a finished query, which arrive a little after it; no waiting for ever."""
+    until = time.monotonic() + seconds
+    while not found._jo.future().isCompleted():
+        if time.monotonic() > until:
+            raise RuntimeError("Spark has not delivered the counts of a finished query")
+        time.sleep(0.02)
+    return found.get
+
+
 PROCESSED = ("orders", "items", "payments", "master", "rfm")
 
 
@@ -91,7 +103,7 @@ def run_etl(
         seen: dict[str, Observation] = {}
 
         def counted(name: str, df: DataFrame, key: str | None = None) -> DataFrame:
-            seen[name] = Observation(name)
+            seen[name] = Observation(f"{name}-{uuid.uuid4().hex}")  # no other run's
             counts = [F.count(F.lit(1)).alias("rows")]
             if key:
                 counts.append(F.count_if(F.col(key).isNull()).alias("without_key"))
@@ -118,7 +130,7 @@ def run_etl(
         scores = rfm.score_by_quartiles(rfm.rfm_base(read_table(spark, place, "master")), ties)
         write_processed({"rfm": counted("rfm", scores)}, place)
         for name, found in seen.items():
-            record.update({f"{name}_{what}": n for what, n in found.get.items()})
+            record.update({f"{name}_{what}": n for what, n in _delivered(found).items()})
         record["duplicate_customers"] = record["master_rows"] - record["orders_rows"]
         return {"record": record}
 
