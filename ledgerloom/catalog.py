@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.segments import CLUSTER_NAMES
-from ledgerloom.operators import kmeans, ordered
+from ledgerloom.operators import kmeans, least_squares, ordered
 from ledgerloom.operators import orders as op
 from ledgerloom.plans import (
-    clusters, demand, eda, etl, experiments, forecast, reports, rfm, scoring,
+    clusters, contingency, demand, eda, etl, experiments, forecast, reports, rfm, scoring,
 )
 from ledgerloom.session import delete_at_exit, scratch_root, spool
 from ledgerloom.sources import benchmark_tables as bench
@@ -398,6 +398,23 @@ def ab_tests(spark, folder):
     return experiments.run_tests(spool(_units(spark, folder), "units"))
 
 
+@query
+def ab_chi_square(spark, folder):
+    """Variant against pages seen and against conversion, over all days."""
+    units = spool(_units(spark, folder), "units")
+    found = [
+        contingency.chi_square_test(units, "variant", column).withColumn("category", F.lit(column))
+        for column in ("session_pages", "converted")
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query
+def ab_daily_chi_square(spark, folder):
+    stats = contingency.chi_square_stats(_units(spark, folder), "variant", "session_pages", by=["day"])
+    return _rounded(stats, statistic=6)
+
+
 @query
 def power_check(spark, folder):
     return _rounded(
@@ -734,6 +751,23 @@ def scaled_measures(spark, folder):
     )
 
 
+@query
+def demand_covariances(spark, folder):
+    """The sums from which a linear demand model is solved, pair by pair."""
+    columns = ["lag_1_orders", "lag_2_orders", "month", demand.TARGET]
+    found = least_squares.covariances(_panel(spark, folder).features, columns)
+    pairs = [c for c in found.columns if c.startswith("cov_")]
+    return _rounded(found.unpivot(["n"], pairs, "pair", "covariance"), covariance=6)
+
+
+@query
+def linear_demand(spark, folder):
+    """A linear demand model from those sums: coefficients by input."""
+    found = least_squares.fit(_panel(spark, folder).features, ["lag_1_orders"], demand.TARGET)
+    rows = [("lag_1_orders", found.coefficients[0], found.r2), ("intercept", found.intercept, found.r2)]
+    return _rounded(spark.createDataFrame(rows, "input string, coefficient double, r2 double"), coefficient=6, r2=6)
+
+
 FIXED_CENTRES = [[-0.8, 0.9, 1.1], [0.3, -0.2, -0.1], [1.7, -1.1, -1.3]]
 
 

@@ -53,6 +53,46 @@ def _student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([tail(a, b) for a, b in zip(t, df)], dtype="float64")
 
 
+def _upper_gamma_share(a: float, x: float) -> float:
+    """Q(a, x): the share of the gamma density with shape ``a`` that lies above ``x``."""
+    if x <= 0:
+        return 1.0
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:  # the share below, by its power series
+        term = total = 1 / a
+        n = a
+        while abs(term) > abs(total) * 1e-17:
+            n += 1
+            term *= x / n
+            total += term
+        return max(0.0, 1 - scale * total)
+    # Continued fraction, from the front.
+    tiny = 1e-300
+    b = x + 1 - a
+    c, d = 1 / tiny, 1 / b
+    value = d
+    for i in range(1, 100_000):
+        step = -i * (i - a)
+        b += 2
+        d = step * d + b
+        d = 1 / (d if abs(d) > tiny else tiny)
+        c = b + step / c
+        c = c if abs(c) > tiny else tiny
+        value *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return min(1.0, scale * value)
+
+
+def _chi_square_tail(x: pd.Series, df: pd.Series) -> pd.Series:
+    def tail(stat: float, degrees: float) -> float | None:
+        if pd.isna(stat) or pd.isna(degrees) or degrees <= 0:
+            return None
+        return _upper_gamma_share(degrees / 2, stat / 2)
+
+    return pd.Series([tail(a, b) for a, b in zip(x, df)], dtype="float64")
+
+
 # By the automatic method, the exact rank-sum distribution applies up to this smaller sample size,
 # if no values are tied.
 EXACT_SAMPLE = 8
@@ -110,3 +150,8 @@ def normal_two_sided(z: Column) -> Column:
 def student_two_sided(t: Column, df: Column) -> Column:
     """P(|T| >= |t|) for ``df`` (possibly fractional) degrees of freedom."""
     return F.pandas_udf(_student_two_sided, "double")(t, df)
+
+
+def chi_square_tail(x: Column, df: Column) -> Column:
+    """P(X >= x) for ``df`` degrees of freedom; null for none."""
+    return F.pandas_udf(_chi_square_tail, "double")(x, df)

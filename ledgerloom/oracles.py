@@ -685,3 +685,33 @@ ORACLES["experiment_report"] = f"""WITH m AS (SELECT variant, unnest([
   UNION ALL SELECT test, round(control_value, 6), round(test_value, 6), lift_pct, p_value, decision FROM ({ORACLES["ab_tests"]})
   UNION ALL SELECT 'Sample size, required: ' || required_n, CAST(n_control AS DOUBLE), CAST(n_test AS DOUBLE), NULL, NULL,
     CASE WHEN least(n_control, n_test) >= required_n THEN 'ENOUGH' ELSE 'TOO FEW' END FROM sizes"""
+
+_CHI = """cells AS (SELECT {by} variant, {column} AS category, count(*) AS o FROM units GROUP BY ALL), totals AS (
+    SELECT *, sum(o) OVER (PARTITION BY {by} variant) AS r, sum(o) OVER (PARTITION BY {by} category) AS c FROM cells), found AS (
+    SELECT {by} CAST(sum(o) AS BIGINT) AS n, count(DISTINCT variant) AS n_rows, count(DISTINCT category) AS n_columns,
+      greatest(0, sum(o) * (sum(CAST(o AS DOUBLE) * o / r / c) - 1)) AS statistic FROM totals {group})"""
+
+ORACLES["ab_daily_chi_square"] = f"""WITH {_UNITS}, {_CHI.format(by="day,", column="session_pages", group="GROUP BY day")}
+  SELECT day, n, n_rows, n_columns, round(statistic, 6) AS statistic, (n_rows - 1) * (n_columns - 1) AS degrees FROM found"""
+
+# For whole degrees of freedom the tail is a finite sum, and an odd number adds a normal tail.
+ORACLES["ab_chi_square"] = " UNION ALL ".join(
+    f"""SELECT * FROM (WITH {_UNITS}, {_CHI.format(by="", column=column, group="")}, sized AS (
+  SELECT n, statistic, sqrt(statistic) AS x, (n_rows - 1) * (n_columns - 1) AS degrees FROM found), tails AS (
+  SELECT *, CASE WHEN degrees % 2 = 1 THEN {_NORMAL_TAIL} ELSE 0 END + coalesce((
+    SELECT sum(exp((k - (degrees % 2) / 2.0) * ln(statistic / 2) - statistic / 2 - lgamma(k - (degrees % 2) / 2.0 + 1)))
+    FROM range(0, 500) t(k) WHERE k >= degrees % 2 AND 2 * k <= degrees - 2 + degrees % 2), 0) AS p FROM sized)
+  SELECT n, degrees, round_even(statistic, 4) AS statistic, round_even(p, 6) AS p_value, p < 0.05 AS significant,
+    CASE WHEN p < 0.05 THEN 'REJECT H₀' ELSE 'FAIL TO REJECT H₀' END AS decision, '{column}' AS category FROM tails)"""
+    for column in ("session_pages", "converted")
+)
+
+_SUMMED = ["lag_1_orders", "lag_2_orders", "month", "order_count"]
+ORACLES["demand_covariances"] = f"""WITH {_PANEL} """ + " UNION ALL ".join(
+    f"SELECT count(*) AS n, 'cov_{i}_{j}' AS pair, round(covar_pop({_SUMMED[i]}, {_SUMMED[j]}), 6) AS covariance FROM panel"
+    for i in range(4) for j in range(i, 4)
+)
+
+ORACLES["linear_demand"] = f"""WITH {_PANEL} SELECT 'lag_1_orders' AS input,
+    round(regr_slope(order_count, lag_1_orders), 6) AS coefficient, round(regr_r2(order_count, lag_1_orders), 6) AS r2 FROM panel
+  UNION ALL SELECT 'intercept', round(regr_intercept(order_count, lag_1_orders), 6), round(regr_r2(order_count, lag_1_orders), 6) FROM panel"""
