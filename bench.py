@@ -25,8 +25,10 @@ HEADLINE = [
     "rfm_ml_scored", "demand_features", "ab_metrics", "ab_tests", "eda_summary",
 ]
 
-# Fits with full parameters: three models with five folds each, k = 2..8 with ten starts each.
-MODELS = ["demand_leaderboard", "cluster_selection"]
+# Fits with full parameters: k = 2..8 with ten starts each, always; three demand models with five
+# folds each on request. Neither is part of the total.
+MODELS = ["cluster_selection"]
+LONG_MODELS = ["demand_leaderboard"]
 
 STORED = {
     "stored_q01": lambda t: reports.monthly_revenue(t["master"]),
@@ -67,14 +69,14 @@ def main() -> None:
         timed(name, lambda: catalog.QUERIES[name](spark, folder))
     for name, run in STORED.items():
         timed(name, lambda: run(stored))
-    for name in MODELS if os.environ.get("BENCH_MODELS") else []:
+    for name in MODELS + (LONG_MODELS if os.environ.get("BENCH_MODELS") else []):
         timed(name, lambda: catalog.QUERIES[name](spark, folder))
     spark.stop()
     print(
         json.dumps(
             {
                 "metric": "etl_and_headline_queries_total",
-                "value": round(sum(s for n, s in seconds.items() if n not in MODELS), 3),
+                "value": round(sum(s for n, s in seconds.items() if n not in MODELS + LONG_MODELS), 3),
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
