@@ -584,6 +584,26 @@ def score_segment_stream(spark, folder):
     return spark.read.parquet(f"{place}/out")
 
 
+@query
+def split_segment_stream(spark, folder):
+    """Requests as a stream, scored by given centres: how many were scored, and why others were not."""
+    place = f"{scratch_root(spark)}/split-{uuid.uuid4().hex}"
+    delete_at_exit(spark, place)
+    rows = _segment_requests(spark, folder)
+    rows.write.parquet(f"{place}/in")
+    nearest = clusters.cluster_stage([40.0, 4.0, 700.0], [25.0, 2.0, 400.0], FIXED_CENTRES)
+    model = PipelineModel([nearest, clusters.label_stage(dict(enumerate(CLUSTER_NAMES)))])
+    incoming = stream.table_requests(spark, f"{place}/in", rows.schema, files_per_batch=1)
+    stream.start_split_scoring(
+        incoming, scoring.score_segment, model, f"{place}/out", f"{place}/checkpoint", keep=["request_id"]
+    ).awaitTermination()
+    scored, refused = stream.outcomes(spark, f"{place}/out")
+    both = scored.select(F.lit("scored").alias("outcome"), "error").unionByName(
+        refused.select(F.lit("refused").alias("outcome"), "error")
+    )
+    return both.groupBy("outcome", "error").agg(F.count("*").alias("n"))
+
+
 # ---- whole jobs ---------------------------------------------------------------------------------------
 
 def _written_and_read(spark, df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:

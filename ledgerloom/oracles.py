@@ -715,3 +715,6 @@ ORACLES["demand_covariances"] = f"""WITH {_PANEL} """ + " UNION ALL ".join(
 ORACLES["linear_demand"] = f"""WITH {_PANEL} SELECT 'lag_1_orders' AS input,
     round(regr_slope(order_count, lag_1_orders), 6) AS coefficient, round(regr_r2(order_count, lag_1_orders), 6) AS r2 FROM panel
   UNION ALL SELECT 'intercept', round(regr_intercept(order_count, lag_1_orders), 6), round(regr_r2(order_count, lag_1_orders), 6) FROM panel"""
+
+ORACLES["split_segment_stream"] = f"""SELECT CASE WHEN error IS NULL THEN 'scored' ELSE 'refused' END AS outcome,
+  error, count(*) AS n FROM ({ORACLES["segment_request_validation"]}) GROUP BY ALL"""

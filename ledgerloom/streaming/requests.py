@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.plans import scoring
@@ -59,3 +60,42 @@ def start_scoring(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+OUTCOME = "outcome"
+
+
+def start_split_scoring(
+    requests: DataFrame,
+    score: Callable[[DataFrame, PipelineModel, Sequence[str]], DataFrame],
+    model: PipelineModel,
+    output: str,
+    checkpoint: str,
+    keep: Sequence[str] = (),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Write the scores and the refused requests of a stream apart, in one pass over it: to the
+    folders ``outcome=scored`` and ``outcome=refused`` of ``output``.
+
+    Both are one sink to Spark, which lists the files of a batch under the batch's number when all
+    of them are written; a batch that failed is written again and counts once. Read both through
+    ``outcomes``, which goes by those lists.
+    """
+    refused = F.col("error").isNotNull()
+    return (
+        score(requests, model, keep)
+        .withColumn(OUTCOME, F.when(refused, "refused").otherwise("scored"))
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy(OUTCOME)
+        .option("path", output)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def outcomes(spark: SparkSession, output: str) -> tuple[DataFrame, DataFrame]:
+    """The scores and the refused requests that a stream has written to ``output``."""
+    rows = spark.read.parquet(output)
+    return tuple(rows.where(F.col(OUTCOME) == kind).drop(OUTCOME) for kind in ("scored", "refused"))

@@ -277,6 +277,31 @@ def test_streamed_segments_equal_batch(clustered, spark, tmp_path):
     assert streamed.count() == 90 and streamed.exceptAll(batch).count() == 0
 
 
+def test_a_failed_batch_counts_once(clustered, spark, tmp_path):
+    """The second batch breaks and is written again: no request is lost or there twice."""
+    for n, value in enumerate(["5", "often", "9"]):
+        part = spark.createDataFrame([(n, "3", value, "20.0")], "request_id int, recency string, frequency string, monetary string")
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    incoming = stream.table_requests(spark, str(tmp_path / "in"), part.schema, files_per_batch=1)
+
+    def broken(requests, model, keep):
+        bad = F.when(F.col("request_id") == 1, F.raise_error(F.lit("no power")).cast("int")).otherwise(F.col("request_id"))
+        return scoring.score_segment(requests.withColumn("request_id", bad), model, keep)
+
+    def run(score):
+        return stream.start_split_scoring(
+            incoming, score, clustered.model, str(tmp_path / "out"), str(tmp_path / "checkpoint"), ["request_id"]
+        ).awaitTermination(120)
+
+    with pytest.raises(Exception, match="no power"):
+        run(broken)
+    for _ in range(2):
+        run(scoring.score_segment)
+        scored, refused = stream.outcomes(spark, str(tmp_path / "out"))
+        assert sorted(r.request_id for r in scored.collect()) == [0, 2]
+        assert [(r.request_id, r.error) for r in refused.collect()] == [(1, "Invalid field: frequency")]
+
+
 def test_advice(spark, raw):
     spend = etl.build_master(raw, with_customers=False)
     scored = rfm.add_advice(rfm.score_by_rules(rfm.rfm_base(spend)))
