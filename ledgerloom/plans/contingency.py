@@ -29,17 +29,17 @@ def chi_square_stats(
     cells = known.groupBy(*keys, F.col(row).alias("_row"), F.col(column).alias("_column")).agg(F.count("*").alias("o"))
     rows = cells.groupBy(*keys, "_row").agg(F.sum("o").alias("r"))
     columns = cells.groupBy(*keys, "_column").agg(F.sum("o").alias("c"))
-    shares = (
+    found = (
         cells.join(rows, [*keys, "_row"]).join(columns, [*keys, "_column"])
         .groupBy(*keys).agg(
             F.sum(F.col("o").cast("double") * F.col("o") / F.col("r") / F.col("c")).alias("share"),
             F.sum("o").alias("n"),
+            # The shares of a row's cells add up to one, so all of them to the number of rows.
+            F.round(F.sum(F.col("o") / F.col("r"))).cast("long").alias("n_rows"),
+            F.round(F.sum(F.col("o") / F.col("c"))).cast("long").alias("n_columns"),
         )
     )
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n_rows")).join(
-        columns.groupBy(*keys).agg(F.count("*").alias("n_columns")), keys
-    )
-    return shares.join(sizes, keys).select(
+    return found.select(
         *by, "n", "n_rows", "n_columns",
         F.greatest(F.lit(0.0), F.col("n") * (F.col("share") - 1)).alias("statistic"),
         ((F.col("n_rows") - 1) * (F.col("n_columns") - 1)).alias("degrees"),
