@@ -44,7 +44,7 @@ SHARD_BYTES = 1 << 20
 # Window starts that are looked at together.
 PIECE = 1 << 21
 # Windows in a task of the merge across shards.
-MERGED = 1 << 20
+MERGED = 1 << 17
 _MULTIPLIERS = ((0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB),
                 (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 _ROW = ["file", "place"]
