@@ -33,6 +33,7 @@ REQUEST_ADVICE_DEFAULT = "Monitor and engage."
 
 def segment_by_rules(score: Column) -> Column:
     """Four-way ladder on the summed score."""
+    # Limits and names.
     return (
         F.when(score >= 10, "Champions")
         .when(score >= 7, "Loyal Customers")
@@ -43,6 +44,7 @@ def segment_by_rules(score: Column) -> Column:
 
 def segment_by_interval(score: Column) -> Column:
     """Right-closed intervals (2,5], (5,8], (8,12]; anything else is null."""
+    # Limits and names.
     return (
         F.when((score > 2) & (score <= 5), "At-Risk")
         .when((score > 5) & (score <= 8), "Potential")

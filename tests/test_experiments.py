@@ -213,3 +213,12 @@ def test_revenue_histogram_clips_per_variant(spark):
         tops[r["variant"]] = max(tops.get(r["variant"], 0), r["bin_high"])
     assert tops["control"] == pytest.approx(197.01) and tops["test"] == pytest.approx(1970.1)
     assert sum(r["n"] for r in rows) == 400
+
+
+def test_metrics_that_are_not_there(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    missing = ex.read_kpis(spark, path).first()
+    assert missing.record is None and missing.error == ex.NO_KPIS and missing.last_updated is not None
+    spark.createDataFrame([("control", 3)], "variant string, users long").write.parquet(path)
+    found = ex.read_kpis(spark, path).collect()
+    assert [(r.record, r.error) for r in found] == [('{"variant":"control","users":3}', None)]
