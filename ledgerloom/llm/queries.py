@@ -95,12 +95,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _scored(docs: DataFrame, score: str, folds: int, held_out: int) -> DataFrame:
+def _scored(docs: DataFrame, score: str, folds: int, held_out: int, **more: str) -> DataFrame:
     return docs.select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
         F.col(score).alias("score"),
         (F.col(score) >= THRESHOLD).cast("int").alias("predicted"),
+        *(F.col(column).alias(name) for name, column in more.items()),
     )
 
 
@@ -116,7 +117,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = learning_rows(spark, sf_dir, "toxic", TOXIC_FOLDS, TOXIC_HELD_OUT)
     model = toxicity.learn(docs, labels)
-    return _scored(model.score(docs), "toxicity", TOXIC_FOLDS, TOXIC_HELD_OUT)
+    judged = model.score(docs, evidence=True)
+    return _scored(judged, "toxicity", TOXIC_FOLDS, TOXIC_HELD_OUT, nearest="nearest.doc_id", evidence="evidence.doc_id")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

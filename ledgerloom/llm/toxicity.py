@@ -2,12 +2,14 @@
 
 Examples and texts are TF-IDF vectors of length one over every word that an example has, with
 document frequencies over all documents. The neighbours of a text are the examples with the largest
-exact cosine (``nearest``). A second search (``evidence``), by the same weights, looks only at words
-that occur significantly and several times more often in toxic than in other examples: few insults
-weigh little in a long text. It runs on an inverted index whose postings are cut into blocks of examples,
-each with its largest weight; blocks are taken in the order of what they could score at most, until
-no block can reach the k-th best. The votes of both searches, weighted by distance, are brought to one
-probability by a logistic and then a monotone fit to the examples' own votes without themselves.
+exact cosine (``nearest``), found by an inverted index over all words: examples that are alike lie in
+one block, the postings of common words carry their largest weight in each block, and a block whose
+bound does not reach the k-th best is not added up. A second search (``evidence``), by the same
+weights, looks only at words that occur significantly and several times more often in toxic than in
+other examples: few insults weigh little in a long text. Its blocks are taken in the order of what
+they could score at most, until no block can reach the k-th best. The votes of both searches, weighted
+by distance, are brought to one probability by a logistic and then a monotone fit to the examples' own
+votes without themselves.
 
 The examples are those of a sample of labelled ids of bounded size (``examples``), chosen by a hash of
 the id; everything else covers all documents.
@@ -18,7 +20,7 @@ examples; where the toxic words are missing, their vote is the share of toxic ex
 without; ties in similarity go to the example listed first; without examples every score is zero;
 labels that are null are no labels, an id labelled twice is toxic if one of its labels is; rows that
 repeat a labelled id are an example for each different text, at most 4 for one id, chosen by a hash of
-the text. Extra columns are kept.
+the text. Very long texts are read whole; without rows there is no row. Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -37,7 +39,6 @@ from ledgerloom.llm.common import unused
 from ledgerloom.session import spool
 
 EXAMPLES = 20_000
-TERMS = 8_192  # toxic words; texts are compared by all words
 LEAST_TOXIC = 4  # toxic examples that must have a word
 LEAST_LIFT = 4.0  # how many times as often toxic examples have a word
 LEAST_G2 = 22.0  # log-likelihood ratio of word and label
@@ -48,8 +49,14 @@ _NEAR = 0.05
 _BLOCKS_FIRST = 8
 _REMEMBERED = 50_000
 _BINS = 40
-_COMMON = 12  # words of one example in so many are columns
+_COMMON = 16  # words of one example in so many are common
+_WIDE = 256  # examples in a block of common words
+_FINE = 16  # examples of which one stands for all in the search for the k-th best
+_SHARE_FIRST = 4  # one block in so many is added up before bounds are looked at
+_SHORT = 64  # postings of a short list
+_GROUPS, _GROUP_ROUNDS = 32, 6
 _TEXTS = 128  # compared at once
+_PORTION = 1 << 21  # characters whose words are counted at once
 
 _TO_WORDS = bytes(c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
@@ -110,65 +117,130 @@ class BlockMaxIndex:
         return found, score
 
 
-def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """``first[i]``, ``first[i]`` + 1, … (``n[i]`` numbers) for each i."""
-    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+def _alike(profiles: np.ndarray) -> np.ndarray:
+    """A group for each row of ``profiles``: rows of one group point in similar directions, and so,
+    where they can, do those of neighbouring groups."""
+    length = np.linalg.norm(profiles, axis=1, keepdims=True)
+    profiles = profiles / np.where(length > 0, length, 1)
+    centres = profiles[np.linspace(0, len(profiles) - 1, min(_GROUPS, len(profiles))).astype(int)]
+    group = np.zeros(len(profiles), np.int64)
+    for _ in range(_GROUP_ROUNDS):
+        group = np.argmax(profiles @ centres.T, axis=1)
+        for c in range(len(centres)):
+            if (group == c).any():
+                total = profiles[group == c].sum(axis=0)
+                centres[c] = total / max(float(np.linalg.norm(total)), 1e-30)
+    alike, rank = centres @ centres.T, np.zeros(len(centres), np.int64)
+    left, last = set(range(1, len(centres))), 0
+    for i in range(1, len(centres)):  # always on to the nearest one that is left
+        last = max(sorted(left), key=lambda c: alike[last, c])
+        left.remove(last)
+        rank[last] = i
+    return rank[group]
 
 
 class WholeTexts:
     """Exact nearest examples by cosine over all words, for several texts at once.
 
-    Example i has ``terms[first[i]:first[i + 1]]``, with weights of length one. Words that many
-    examples have are rows of a matrix, the others postings. Sums in single precision leave out
-    only what cannot be among the best; the rest is added up again in double precision."""
+    Example i has ``terms[first[i]:first[i + 1]]``, with weights of length one. The index keeps the
+    examples in an order in which similar ones lie together. Postings of words that few examples have
+    are added up whole. Those of common words are cut into blocks of ``block`` examples, each with
+    every word's largest weight there: a block is added up for the texts whose bound for it, from these
+    and from the rare words, reaches the text's k-th best so far. Weights are kept in single precision.
+    What cannot be among the best is left out with a margin for rounding; the common words of the rest
+    are added up again in double precision, so that equal examples get equal cosines."""
 
-    def __init__(self, first: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int):
-        self.first, self.terms, self.weights, self.size = first, terms, weights, len(first) - 1
+    def __init__(self, first: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, block: int = _WIDE):
+        self.size = len(first) - 1
         owner = np.repeat(np.arange(self.size), np.diff(first))
         common = np.flatnonzero(np.bincount(terms, minlength=n_terms) > max(16, self.size / _COMMON))
         self.row = np.full(n_terms, -1)
         self.row[common] = np.arange(len(common))
-        self.matrix = np.zeros((len(common), self.size), np.float32)
         row = self.row[terms]
-        self.matrix[row[row >= 0], owner[row >= 0]] = weights[row >= 0]
+        matrix = np.zeros((self.size, len(common)), np.float32)
+        matrix[owner[row >= 0], row[row >= 0]] = weights[row >= 0]
+        self.order = np.lexsort((np.diff(first), _alike(matrix))) if self.size else np.zeros(0, np.int64)
+        self.place = np.empty(self.size, np.int64)
+        self.place[self.order] = np.arange(self.size)
+        self.starts = np.arange(0, self.size, block)
+        self.matrix = matrix[self.order].T  # an example's weights lie side by side
+        self.blocks = [self.matrix[:, a:a + block] for a in self.starts]
+        self.largest = np.zeros((len(common), len(self.blocks)), np.float32)
+        for i, some in enumerate(self.blocks):
+            self.largest[:, i] = some.max(axis=1)
         rest = np.flatnonzero(row < 0)
         rest = rest[np.argsort(terms[rest], kind="stable")]
-        self.owner, self.weight = owner[rest].astype(np.int32), weights[rest].astype(np.float32)
+        # Place and weight of a posting side by side, so that a list is read once.
+        self.postings = np.empty((len(rest), 2), np.int32)
+        self.postings[:, 0] = self.place[owner[rest]]
+        self.postings.view(np.float32)[:, 1] = weights[rest]
+        self.postings = self.postings.view(np.int64).reshape(-1)
         self.start = np.searchsorted(terms[rest], np.arange(n_terms + 1))
-        self.query = np.zeros(n_terms)
+        self.fine = np.arange(0, self.size, _FINE)
         self.error = (len(common) + 8) * 2.0**-22
 
+    def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Sums over the words that few examples have."""
+        a, n = self.start[terms], self.start[terms + 1] - self.start[terms]
+        short, long = (n > 0) & (n <= _SHORT), n > _SHORT
+        weights = np.concatenate([np.repeat(weights[some].astype(np.float32), n[some]) for some in (short, long)])
+        if not len(weights):
+            return np.zeros(self.size)
+        # Short lists by their places, all at once; long ones as they lie.
+        at = np.arange(n[short].sum()) + np.repeat(a[short] - (np.cumsum(n[short]) - n[short]), n[short])
+        lists = [self.postings[x:x + m] for x, m in zip(a[long].tolist(), n[long].tolist())]
+        found = np.concatenate([self.postings[at], *lists])
+        return np.bincount(found.view(np.int32)[::2], found.view(np.float32)[1::2] * weights, self.size)
+
+    def _add(self, sums: np.ndarray, common: np.ndarray, chosen: np.ndarray) -> None:
+        """Add the common words to the ``chosen`` (text, block) pairs."""
+        for start, block, texts in zip(self.starts, self.blocks, chosen.T):
+            at = np.flatnonzero(texts)
+            if len(at):
+                sums[at, start:start + block.shape[1]] += common[at] @ block
+
     def nearest(
         self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None
     ) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each (terms, weights) up to ``k`` examples with a cosine over zero, best first, and
         their cosines; without example ``without[i]`` for text i."""
-        common = np.zeros((len(texts), len(self.matrix)), np.float32)
+        if not self.size:
+            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in texts]
+        common = np.zeros((len(texts), len(self.largest)), np.float32)
+        sums = np.empty((len(texts), self.size), np.float32)
         for i, (terms, weights) in enumerate(texts):
             row = self.row[terms]
             common[i, row[row >= 0]] = weights[row >= 0]
-        sums, found = common @ self.matrix, []
-        for i, (terms, weights) in enumerate(texts):
-            a, b = self.start[terms], self.start[terms + 1]
-            if (a < b).any():
-                each = list(zip(a[a < b].tolist(), b[a < b].tolist()))
-                owner = np.concatenate([self.owner[x:y] for x, y in each])
-                weight = np.concatenate([self.weight[x:y] for x, y in each])
-                sums[i] += np.bincount(owner, weight * np.repeat(weights, b - a), self.size)
+            sums[i] = self._rare(terms, weights)
             if without is not None:
-                sums[i, without[i]] = 0
-            least = np.partition(sums[i], self.size - k)[self.size - k] - 2 * self.error if self.size > k else 0.0
-            ids = np.flatnonzero(sums[i] >= least) if least > 0 else np.flatnonzero(sums[i])
-            n = self.first[ids + 1] - self.first[ids]
-            at = _ranges(self.first[ids], n)
-            self.query[terms] = weights
-            products = self.query[self.terms[at]] * self.weights[at]
-            self.query[terms] = 0
-            cosine = np.add.reduceat(products, np.cumsum(n) - n) if len(ids) else np.zeros(0)
+                sums[i, self.place[without[i]]] = -2  # stays below zero with the common words
+        rare = sums.copy()
+        bound = common @ self.largest + np.maximum.reduceat(sums, self.starts, axis=1)
+        n = len(self.starts)
+        first = max(1, n // _SHARE_FIRST)
+        chosen = bound >= np.partition(bound, n - first, axis=1)[:, n - first:n - first + 1]
+        self._add(sums, common, chosen)
+        # What is not added up yet only makes the k-th best too small.
+        rest = ~chosen & (bound >= self._least(sums, k)[:, None] - 4 * self.error)
+        self._add(sums, common, rest)
+        least = self._least(sums, k) - 2 * self.error
+        found = []
+        for i in range(len(texts)):
+            at = np.flatnonzero(sums[i] >= least[i] if least[i] > 0 else sums[i] > 0)
+            cosine = rare[i, at] + self.matrix.T[at].astype(float) @ common[i].astype(float)
+            ids = self.order[at]
             best = np.lexsort((ids, -np.round(cosine, 12)))[:k]
             found.append((ids[best], cosine[best]))
         return found
 
+    def _least(self, sums: np.ndarray, k: int) -> np.ndarray:
+        """At most the k-th largest of each row: the k-th largest of the largest of each few."""
+        n = len(self.fine)
+        if n <= k:
+            return np.zeros(len(sums), np.float32)
+        most = np.maximum.reduceat(sums, self.fine, axis=1)
+        return np.maximum(np.partition(most, n - k, axis=1)[:, n - k], 0)
+
 
 def monotone_fit(raw: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Increasing step function from votes to shares: bins of equal numbers, pooled where they
@@ -208,8 +280,8 @@ class Calibration:
 
     @classmethod
     def of(cls, votes: np.ndarray, label: np.ndarray) -> Calibration:
-        if len(label) <= 20:
-            return cls(np.array([0.0, 0.5, 0.5]), np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+        if not len(label):
+            return cls(np.zeros(3), np.zeros(1), np.zeros(1))
         weights = logistic_fit(votes, label)
         return cls(weights, *monotone_fit(weights[0] + votes @ weights[1:], label))
 
@@ -236,7 +308,7 @@ class Neighbours:
     words: np.ndarray
     counts: np.ndarray
     labels: np.ndarray
-    ids: list[int | None]
+    ids: np.ndarray
 
     def build(self) -> None:
         """The indexes, in each task's process; the driver does without."""
@@ -293,14 +365,61 @@ class Neighbours:
                 whole = _share(self.labels[at], cosine, 1 / (1 + _NEAR), self.base)
                 yield (whole, at, cosine), self.toxic_vote(self.toxic_words(*text), out[i] if out else -1)
 
-    def named(self, at: np.ndarray, cosine: np.ndarray) -> list[tuple[int | None, float, int]]:
-        return list(zip([self.ids[i] for i in at], cosine.tolist(), self.labels[at].astype(int).tolist()))
-
-
-def count_terms(terms: dict[bytes, int], text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of a text in order, and how often it has them."""
-    found = [t for t in map(terms.get, words_of(text)) if t is not None]
-    return np.unique(np.array(found, np.int64), return_counts=True)
+    def named(self, found: list[tuple[float, np.ndarray, np.ndarray]]) -> pa.Array:
+        """The neighbours of each text, best first: id, cosine and label."""
+        sizes = [len(at) for _, at, _ in found]
+        at = np.concatenate([np.zeros(0, np.int64), *(at for _, at, _ in found)])
+        cosine = np.concatenate([np.zeros(0), *(cosine for _, _, cosine in found)])
+        each = pa.StructArray.from_arrays(
+            [pa.array(self.ids[at]), pa.array(cosine), pa.array(self.labels[at].astype(np.int32))],
+            names=["doc_id", "cosine", "toxic"],
+        )
+        return pa.ListArray.from_arrays(np.cumsum([0, *sizes], dtype=np.int32), each)
+
+
+def _term_table(terms: dict[bytes, int], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, term and count of the terms that each text has, in this order; words as ``words_of``."""
+    raw = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b" ".join(raw).translate(_TO_WORDS), np.uint8)
+    inside = np.concatenate([[False], data != 32, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return (np.zeros(0, np.int64),) * 3
+    text = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), starts, side="right")
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside[1:-1]])]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    _, ends, values = words.dictionary.buffers()
+    cuts, values = np.frombuffer(ends, np.int64)[:len(words.dictionary) + 1].tolist(), values.to_pybytes()
+    place = np.array([terms.get(values[a:b], -1) for a, b in zip(cuts, cuts[1:])], np.int64)
+    term = place[words.indices.to_numpy()]
+    width = max(len(terms), 1)
+    key, n = np.unique((text * width + term)[term >= 0], return_counts=True)
+    return key // width, key % width, n
+
+
+def _portions(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Neighbouring texts, of about ``_PORTION`` characters together."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t or "")
+        if size >= _PORTION:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def count_terms(terms: dict[bytes, int], texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Terms of each text in order, and how often it has them."""
+    found = []
+    for some in _portions(texts):
+        text, term, n = _term_table(terms, some)
+        cuts = np.searchsorted(text, np.arange(len(some) + 1))
+        found += [(term[a:b], n[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    return found
 
 
 class ToxicityModel:
@@ -313,14 +432,13 @@ class ToxicityModel:
         terms, shared, calibration = self._terms, self._shared, self.calibration
 
         def run(texts: pa.Array) -> pa.Array:
-            model, found = shared.value, []
-            for whole, toxic in model.votes([count_terms(terms.value, t) for t in texts.to_pylist()]):
-                score = calibration(whole[0], toxic[0]) if model.ids else 0.0
-                found.append((score, *([model.named(*v[1:]) if evidence else [] for v in (toxic, whole)])))
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+            model = shared.value
+            found = list(model.votes(count_terms(terms.value, texts.to_pylist())))
+            score = [calibration(whole[0], toxic[0]) if len(model.ids) else 0.0 for whole, toxic in found]
+            none = (0.0, np.zeros(0, np.int64), np.zeros(0))
             return pa.StructArray.from_arrays(
-                [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], kind),
-                 pa.array([f[2] for f in found], kind)],
+                [pa.array(score, pa.float64()), model.named([f[1] if evidence else none for f in found]),
+                 model.named([f[0] if evidence else none for f in found])],
                 names=["score", "evidence", "nearest"],
             )
 
@@ -350,9 +468,9 @@ def _g2(n1: np.ndarray, n0: np.ndarray, all1: float, all0: float) -> np.ndarray:
     )
 
 
-def _vocabulary(sample: DataFrame, limit: int) -> tuple[list[bytes], int]:
+def _vocabulary(sample: DataFrame) -> tuple[list[bytes], int]:
     """All words of the examples, the best at telling toxic ones first, and how many these are:
-    words that toxic examples have significantly more often, at most ``limit``."""
+    words that toxic examples have significantly more often."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, other = Counter(), Counter()
@@ -377,7 +495,7 @@ def _vocabulary(sample: DataFrame, limit: int) -> tuple[list[bytes], int]:
     words, n1, n0 = words[order], sums["n1"].to_numpy()[order], sums["n0"].to_numpy()[order]
     often = np.flatnonzero((n1 >= LEAST_TOXIC) & (n1 * all0 > LEAST_LIFT * n0 * all1))
     g2 = _g2(n1[often].astype(float), n0[often].astype(float), all1, all0) if len(often) else np.zeros(0)
-    best = often[np.argsort(-g2, kind="stable")[:min(limit, int((g2 >= LEAST_G2).sum()))]]
+    best = often[np.argsort(-g2, kind="stable")[:int((g2 >= LEAST_G2).sum())]]
     rest = np.ones(len(words), dtype=bool)
     rest[best] = False
     return [*words[best], *words[rest]], len(best)
@@ -387,15 +505,15 @@ def _document_frequencies(docs: DataFrame, shared) -> tuple[np.ndarray, int]:
     """In how many of all documents each word of the broadcast ``shared`` occurs, and their number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, seen, n = shared.value, Counter(), 0
+        terms, n = shared.value, 0
+        seen = np.zeros(len(terms), np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                n += 1
-                seen.update(terms.keys() & set(words_of(text)) if text else ())
-        found = [(terms[w], c) for w, c in seen.items()] + [(-1, n)]
+            n += batch.num_rows
+            for some in _portions(batch.column(0).to_pylist()):
+                seen += np.bincount(_term_table(terms, some)[1], minlength=len(terms))
+        at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([t for t, _ in found], pa.int32()), pa.array([c for _, c in found], pa.int64())],
-            names=["term", "n"],
+            [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(seen[at], n), pa.int64())], names=["term", "n"]
         )
 
     counted = docs.select("text").mapInArrow(count, "term int, n long")
@@ -406,7 +524,7 @@ def _document_frequencies(docs: DataFrame, shared) -> tuple[np.ndarray, int]:
     return frequency, int(n[term < 0].sum())
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> ToxicityModel:
+def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> ToxicityModel:
     """Examples are the documents of up to ``examples`` ids in ``labels`` (``doc_id``, ``label``), up to
     ``TEXTS_OF_ID`` different texts for each."""
     spark = docs.sparkSession
@@ -422,7 +540,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
         F.min(F.struct("hash", "text")).alias("first")
     )
     sample = spool(sample.select("doc_id", "label", "first.text"), "toxicity-examples")
-    words, n_toxic = _vocabulary(sample, terms)
+    words, n_toxic = _vocabulary(sample)
     places = {w: i for i, w in enumerate(words)}
     shared = spark.sparkContext.broadcast(places)
     frequency, n = _document_frequencies(docs, shared)
@@ -430,7 +548,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [count_terms(shared.value, t) for t in batch.column(2).to_pylist()]
+            found = count_terms(shared.value, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()),
                  pa.array([t for t, _ in found], pa.list_(pa.int32())),
@@ -439,7 +557,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
             )
 
     rows = sample.mapInArrow(vectors, "doc_id long, label int, terms array<int>, counts array<int>")
-    model = _model(n_toxic, idf, rows.toArrow().sort_by("doc_id"))
+    model = _model(n_toxic, idf, rows.toArrow())
     examples_shared = spark.sparkContext.broadcast(model)
     return ToxicityModel(shared, examples_shared, _calibrate(spark, examples_shared, model.labels))
 
@@ -465,6 +583,7 @@ def _calibrate(spark: SparkSession, shared, labels: np.ndarray) -> Calibration:
 
 
 def _model(n_toxic: int, idf: np.ndarray, kept: pa.Table) -> Neighbours:
+    ids = kept["doc_id"].to_numpy()
     each = [(np.asarray(t.values), np.asarray(c.values)) for t, c in zip(kept["terms"], kept["counts"])]
 
     def strongest(i: int) -> tuple:
@@ -478,12 +597,14 @@ def _model(n_toxic: int, idf: np.ndarray, kept: pa.Table) -> Neighbours:
         top = int(np.argmax(raw))
         return (int(words[top]), -float(raw[top]) / math.sqrt(raw @ raw))
 
-    order = sorted(range(len(each)), key=strongest)
+    # Examples of one id have different texts; their words put them in order.
+    listed = sorted(range(len(each)), key=lambda i: (ids[i], each[i][0].tobytes(), each[i][1].tobytes()))
+    order = sorted(listed, key=strongest)
     empty = [np.zeros(0, np.int64)]
     return Neighbours(
         n_toxic, idf, np.cumsum([0] + [len(each[i][0]) for i in order]),
         np.concatenate(empty + [each[i][0] for i in order]).astype(np.int32),
         np.concatenate(empty + [each[i][1] for i in order]).astype(np.int32),
         kept["label"].to_numpy()[order].astype(float) if order else np.zeros(0),
-        [kept["doc_id"][i].as_py() for i in order],
+        ids[order] if order else np.zeros(0, np.int64),
     )

@@ -106,6 +106,7 @@ def test_repeated_ids_leave_room_for_others(spark):
     hot = spark.range(3000).selectExpr("7L AS doc_id", "concat('plain text ', id % 50) AS text")
     model = toxicity.learn(docs.where("doc_id != 7").unionByName(hot), labels, examples=100)
     ids = model._shared.value.ids
+    ids = ids.tolist()
     assert set(ids) == set(range(60)) and 1 < ids.count(7) <= toxicity.TEXTS_OF_ID
     assert all(ids.count(i) == 1 for i in range(60) if i != 7)
 
@@ -128,6 +129,47 @@ def test_whole_texts_are_exact():
             assert at.tolist() == want.tolist() and cosine == pytest.approx(all_[want])
 
 
+@pytest.mark.parametrize("block", [4, 32])
+def test_blocks_that_cannot_matter_are_left_out(block, monkeypatch):
+    """Two languages without a word in common, and some short examples with large weights."""
+    monkeypatch.setattr(toxicity, "_FINE", 2)  # 400 examples are few for groups of 16
+    rng = np.random.default_rng(block)
+    dense = np.zeros((400, 60))
+    dense[:200, :30] = (rng.random((200, 30)) < 0.5) * rng.random((200, 30))
+    dense[200:, 30:] = (rng.random((200, 30)) < 0.5) * rng.random((200, 30))
+    dense[::20] *= rng.random((20, 60)) < 0.1
+    dense[:, 0] += 1e-3
+    dense = dense[rng.permutation(400)]
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    index = toxicity.WholeTexts(np.cumsum([0, *(dense > 0).sum(1)]), np.nonzero(dense)[1], dense[dense > 0], 60, block)
+    added, add = [], index._add
+    monkeypatch.setattr(index, "_add", lambda sums, common, chosen: (added.append(chosen.mean()), add(sums, common, chosen)))
+    found = index.nearest([(np.flatnonzero(v), v[v > 0]) for v in dense], 15)
+    for v, (at, cosine) in zip(dense, found):
+        want = np.sort(dense @ v)[::-1][:15]
+        assert len(at) == len(set(at.tolist())) == 15 and cosine == pytest.approx(want, rel=1e-5)
+    assert len(added) == 2 and sum(added) < 0.8
+
+
+def test_words_of_many_texts_at_once(odd, monkeypatch):
+    texts = [r[1] for r in ROWS] + ["İstanbul ẞ x-y_z", "\ud800 lone", " ", "again again AGAIN"]
+    terms = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts[:-1] for w in toxicity.words_of(t)))}
+    want = [sorted((terms[w], toxicity.words_of(t).count(w)) for w in set(toxicity.words_of(t)) & terms.keys()) for t in texts]
+    for portion in (1, 50, 1 << 21):
+        monkeypatch.setattr(toxicity, "_PORTION", portion)
+        got = toxicity.count_terms(terms, texts)
+        assert [list(zip(t.tolist(), n.tolist())) for t, n in got] == want
+    assert [len(t) for t, _ in toxicity.count_terms({}, texts)] == [0] * len(texts)
+
+
+@pytest.mark.parametrize("n", [1, 5, 20, 21])
+def test_few_examples_are_calibrated_like_many(n):
+    label = np.arange(n) % 2.0
+    calibration = toxicity.Calibration.of(np.column_stack([label * 0.8, label * 0.6]), label)
+    low, high = calibration(0, 0), calibration(0.8, 0.6)
+    assert 0 <= low <= high <= 1 and (n < 5 or low < 0.5 < high)
+
+
 def test_quality_of_odd_rows(spark, odd, none):
     docs, labels = labelled(spark)
     shouted = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.upper("text")))
