@@ -14,7 +14,7 @@ from ledgerloom.functions.segments import CLUSTER_NAMES
 from ledgerloom.operators import kmeans, least_squares, ordered
 from ledgerloom.operators import orders as op
 from ledgerloom.plans import (
-    clusters, contingency, demand, eda, etl, experiments, forecast, reports, rfm, scoring,
+    clusters, contingency, demand, eda, etl, experiments, forecast, reports, rfm, scoring, sketches,
 )
 from ledgerloom.session import delete_at_exit, scratch_root, spool
 from ledgerloom.sources import benchmark_tables as bench
@@ -160,6 +160,42 @@ def q08_top_customers_approx(spark, folder):
     return reports.top_customers(_master(spark, folder))
 
 
+@query
+def q08_edge_error(spark, folder):
+    """How far the approximate report's percentile is off, in ranks."""
+    spend = reports.customer_spend(_master(spark, folder))
+    return _rounded(sketches.edge_error(spend, "total_spend", 0.95).drop("rank_error"), share=6)
+
+
+def _stored_sketches(spark, folder):
+    """The sketches of all months, stored and read back, and the orders behind them."""
+    orders = spool(_master(spark, folder).select("year", "month", "customer_id", "total_payment"), "sketched")
+    path = f"{scratch_root(spark)}/sketches-{uuid.uuid4().hex}"
+    sketches.store(sketches.by_month(orders), path)
+    delete_at_exit(spark, path)
+    return orders, sketches.read(spark, path)
+
+
+@query
+def month_sketches(spark, folder):
+    _, stored = _stored_sketches(spark, folder)
+    return sketches.merged(stored, ["year", "month"]).select("year", "month", "n")
+
+
+@query
+def year_quantile_errors(spark, folder):
+    """Quantiles of each year from its months' sketches: is their true rank within the tolerance?"""
+    found = sketches.quantile_errors(*_stored_sketches(spark, folder))
+    return found.select("year", "n", "share", "within")
+
+
+@query
+def year_customer_errors(spark, folder):
+    """Customers of each year from its months' sketches: are they within the tolerance?"""
+    found = sketches.customer_errors(*_stored_sketches(spark, folder))
+    return found.select("year", "customers", "within")
+
+
 @query
 def q09_status_funnel(spark, folder):
     return reports.status_funnel(bench.orders(spark, folder))

@@ -544,6 +544,23 @@ ORACLES["q08_top_customers_approx"] = ORACLES["q08_top_customers"].replace(
     "quantile_cont(total_spend", "quantile_disc(total_spend"
 )
 
+# Sketched answers differ between engines; what is compared is the exact side and that the true error
+# is within the tolerance.
+ORACLES["q08_edge_error"] = f"""WITH {_MASTER}, spend AS (
+  SELECT customer_id, sum(total_payment) AS s FROM master GROUP BY customer_id)
+  SELECT count(s) AS n, CAST(0.95 AS DOUBLE) AS share, true AS within FROM spend"""
+ORACLES["month_sketches"] = f"""WITH {_MASTER}
+  SELECT year, month, count(total_payment) AS n FROM master
+  WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year, month"""
+ORACLES["year_quantile_errors"] = f"""WITH {_MASTER}, y AS (
+  SELECT year, count(total_payment) AS n FROM master
+  WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year)
+  SELECT year, n, share, true AS within FROM y,
+    (SELECT unnest([CAST(0.5 AS DOUBLE), 0.95, 0.99]) AS share) AS s WHERE n > 0"""
+ORACLES["year_customer_errors"] = f"""WITH {_MASTER}
+  SELECT year, count(DISTINCT customer_id) AS customers, true AS within FROM master
+  WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year HAVING count(customer_id) > 0"""
+
 ORACLES["segment_request_validation"] = """WITH requests AS (
   SELECT c_custkey AS request_id,
     CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_custkey % 90 AS VARCHAR) END AS recency,
