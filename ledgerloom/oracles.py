@@ -276,11 +276,13 @@ ORACLES: dict[str, str] = {
         CASE WHEN past.revenue <> 0
           THEN round((now.revenue / past.revenue - 1) * 100.0, 1) END AS mom_growth_pct
       FROM m AS now LEFT JOIN m AS past ON past.place = now.place - 1""",
-    "q11_segment_summary": f"""WITH {_RFM} SELECT segment, count(*) AS customers,
-      round(avg(recency), 0) AS avg_recency_days, round(avg(frequency), 1) AS avg_orders,
-      round(avg(monetary), 2) AS avg_spend, round(sum(monetary), 2) AS total_revenue,
-      round(100.0 * sum(monetary) / sum(sum(monetary)) OVER (), 1) AS revenue_share_pct
-      FROM etl_rfm GROUP BY segment""",
+    "q11_segment_summary": f"""WITH {_RFM}, whole AS (SELECT sum(monetary) AS money FROM etl_rfm), part AS (
+      SELECT segment, count(*) AS n, sum(recency) AS days, sum(frequency) AS bought,
+        sum(monetary) AS money, count(monetary) AS paid FROM etl_rfm GROUP BY segment)
+      SELECT segment, n AS customers, round(part.money, 2) AS total_revenue,
+        round(100.0 * part.money / whole.money, 1) AS revenue_share_pct,
+        round(part.money / paid, 2) AS avg_spend, round(days / n, 0) AS avg_recency_days,
+        round(bought / n, 1) AS avg_orders FROM part, whole""",
     "q12_campaign": f"""WITH {_MASTER}, assigned AS (
       SELECT c_custkey AS customer_id,
         CASE WHEN c_custkey % 2 = 0 THEN 'control' ELSE 'test' END AS variant
