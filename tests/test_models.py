@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import threading
 
 import pandas as pd
 import pytest
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import segments
@@ -39,6 +41,23 @@ def trained(spark):
     return built, forecast.train(built, forecast.default_models(trees=10, boosts=5))
 
 
+class Together(LinearRegression):
+    """Fits only when all fits have begun."""
+
+    begun = threading.Barrier(12)
+
+    def fit(self, dataset, params=None):
+        self.begun.wait(60)
+        return super().fit(dataset, params)
+
+
+def test_all_fits_run_at_once(trained):
+    """Two models on the training side and on five folds each: twelve fits side by side."""
+    models = {n: Together(featuresCol="features", labelCol=demand.TARGET) for n in ("one", "two")}
+    found = forecast.train(trained[0], models).leaderboard.collect()
+    assert [r.cv_r2 for r in found] == [pytest.approx(found[0].cv_r2)] * 2
+
+
 def test_lags_go_by_row_and_incomplete_rows_drop(spark):
     months = [1, 2, 4, 5, 6]  # March is missing
     rows = [
