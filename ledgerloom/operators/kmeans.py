@@ -1,9 +1,11 @@
 """k-means for several numbers of clusters and several starts, all in one pass per iteration.
 
 Every pass sends the centres of all starts that still move to the tasks; each task adds up, for every
-centre, the rows nearest to it, and the sums meet in one short aggregate. A sweep takes as many
-passes as its slowest start, whatever the number of starts. The centres of all starts are
-``sum(ks) * restarts`` rows, which bounds what is sent and what comes back.
+centre, the rows nearest to it, and the sums meet in one short aggregate. The rows are kept as blocks
+of numbers. A task takes short runs of them against all starts of one number of clusters at once;
+distances and sums are products of matrices. A sweep takes as many passes as its slowest start,
+whatever the number of starts. The centres of all starts are ``sum(ks) * restarts`` rows, which bounds
+what is sent and what comes back.
 
 Starts are seeded by distance: each further centre is a row drawn in proportion to its squared
 distance to the nearest centre so far. The draw is the row with the largest ``log(u) / distance``,
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,14 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KEY = "_key"
-_ROWS = 4096
+_NUMBERS = "_numbers"
+# Rows of a block.
+_BLOCK = 4096
+# Rows of an assignment that are worked on together: few enough for a processor's cache.
+_ROWS = 1024
+# What a distance from a product of matrices may be off by, as a share of the squares that go into
+# it; rounding of doubles stays far below.
+_ROUNDING = 1e-12
 
 
 @dataclass
@@ -52,21 +61,70 @@ class Sweep:
     passes: int
 
 
-def _matrix(batch: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
-    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+def _packed(columns: list[str]):
+    """The rows in blocks: a row of the result holds the numbers of some thousand rows as bytes,
+    so that a pass need not hand rows to Python one by one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, _BLOCK):
+                rows = batch.slice(i, _BLOCK)
+                numbers = np.stack([rows.column(c).to_numpy(zero_copy_only=False) for c in columns])
+                values = [numbers.astype(np.float64).tobytes(), rows.column(KEY).to_numpy().tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], names=[_NUMBERS, KEY])
+
+    return run
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], measures: int) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """Per block its numbers, measure by row, and its keys where they were asked for."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            x = np.frombuffer(batch.column(_NUMBERS)[i].as_buffer()).reshape(measures, -1)
+            yield x, np.frombuffer(batch.column(KEY)[i].as_buffer(), np.int64) if KEY in batch.schema.names else None
+
+
+def _groups(centres: list[np.ndarray]) -> list[tuple[list[int], np.ndarray]]:
+    """Starts with equally many centres together: which they are, and their centres, cluster by
+    start by measure."""
+    alike: dict[int, list[int]] = {}
+    for i, c in enumerate(centres):
+        alike.setdefault(len(c), []).append(i)
+    return [(which, np.stack([centres[i] for i in which], axis=1)) for which in alike.values()]
 
 
 def _distances(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(rows), len(centres)))
-    for j in range(rows.shape[1]):
-        out += (rows[:, j, None] - centres[:, j]) ** 2
+    """Squared distances, cluster by start by row. The rows come last, so that every step runs
+    along memory, over all starts of a group at once."""
+    out = np.zeros((*centres.shape[:2], rows.shape[1]))
+    part = np.empty_like(out)
+    for j, values in enumerate(rows):
+        np.subtract(values, centres[:, :, j, None], out=part)
+        out += np.square(part, out=part)
     return out
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, batch.num_rows, _ROWS):
-            yield batch.slice(i, _ROWS)
+def _ones(near: np.ndarray, distances: np.ndarray) -> np.ndarray:
+    """``near`` as numbers, with the first of equally near centres only."""
+    if np.count_nonzero(near) != distances[0].size:
+        near = np.argmin(distances, axis=0) == np.arange(len(distances))[:, None, None]
+    return near.astype(np.float64)
+
+
+def _nearest(rows: np.ndarray, parts: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """A one for each row's nearest centre, the first of equally near ones, and zeros for the others.
+
+    A product of matrices gives the distances to within a rounding error. Where two centres are
+    nearer to each other than that, the distances are worked out as differences.
+    """
+    norms = (centres * centres).sum(axis=2)
+    factors = np.stack([norms, np.ones_like(norms), *np.moveaxis(-2 * centres, 2, 0)], axis=2)
+    about = (factors.reshape(-1, len(parts)) @ parts).reshape(*norms.shape, -1)
+    near = about <= about.min(axis=0) + _ROUNDING * (norms.max() + parts[1].max())
+    if np.count_nonzero(near) == about[0].size:
+        return near.astype(np.float64)
+    distances = _distances(rows, centres)
+    return _ones(distances == distances.min(axis=0), distances)
 
 
 def _bounds(sizes: Iterable[int]) -> list[tuple[int, int]]:
@@ -90,18 +148,16 @@ def _draw(columns: list[str], centres: list[np.ndarray], numbers: list[int], ste
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = np.full(len(centres), -np.inf)
         rows = np.zeros((len(centres), len(columns)))
-        every = np.concatenate(centres) if step else None
-        bounds = _bounds(map(len, centres))
-        for batch in _slices(batches):
-            x, keys = _matrix(batch, columns), batch.column(KEY).to_numpy()
-            all_distances = _distances(x, every) if step else None
-            for i, (a, b) in enumerate(bounds):
-                weight = all_distances[:, a:b].min(axis=1) if step else np.ones(len(x))
-                with np.errstate(divide="ignore"):
-                    rank = np.where(weight > 0, np.log(_uniform(keys, numbers[i], step)) / weight, -np.inf)
-                top = int(np.argmax(rank))
-                if rank[top] > best[i]:
-                    best[i], rows[i] = rank[top], x[top]
+        groups = _groups(centres)
+        for x, keys in _blocks(batches, len(columns)):
+            for which, points in groups:
+                weights = _distances(x, points).min(axis=0) if step else np.ones((len(which), len(keys)))
+                for i, weight in zip(which, weights):
+                    with np.errstate(divide="ignore"):
+                        rank = np.where(weight > 0, np.log(_uniform(keys, numbers[i], step)) / weight, -np.inf)
+                    top = int(np.argmax(rank))
+                    if rank[top] > best[i]:
+                        best[i], rows[i] = rank[top], x[:, top]
         found = np.flatnonzero(best > -np.inf)
         if len(found):
             yield pa.RecordBatch.from_arrays(
@@ -112,21 +168,30 @@ def _draw(columns: list[str], centres: list[np.ndarray], numbers: list[int], ste
     return run
 
 
-def _assign(columns: list[str], centres: list[np.ndarray]):
-    """For every centre of every start, what a task has nearest to it."""
+def _assign(columns: list[str], centres: list[np.ndarray], costs: bool):
+    """For every centre of every start, what a task has nearest to it; with ``costs`` also the sum
+    of their distances."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = np.concatenate(centres)
-        total = np.zeros((len(every), len(columns) + 3))
+        groups = _groups(centres)
+        sums = [np.zeros((len(columns) + 3, *points.shape[:2])) for _, points in groups]
+        for x in (b[:, i:i + _ROWS] for b, _ in _blocks(batches, len(columns)) for i in range(0, b.shape[1], _ROWS)):
+            parts = np.stack([np.ones(x.shape[1]), (x * x).sum(axis=0), *x])
+            for (_, points), of in zip(groups, sums):
+                if costs:
+                    distances = _distances(x, points)
+                    near = _ones(distances == distances.min(axis=0), distances)
+                    of[2] += np.einsum("ksr,ksr->ks", near, distances)
+                else:
+                    near = _nearest(x, parts, points)
+                found = (parts @ near.reshape(-1, x.shape[1]).T).reshape(-1, *points.shape[:2])
+                of[:2] += found[:2]
+                of[3:] += found[2:]
         bounds = _bounds(map(len, centres))
-        for batch in _slices(batches):
-            x = _matrix(batch, columns)
-            distances, norms = _distances(x, every), (x * x).sum(axis=1)
-            for a, b in bounds:
-                near = np.argmin(distances[:, a:b], axis=1)
-                parts = [None, norms, distances[np.arange(len(x)), a + near], *x.T]
-                for j, part in enumerate(parts):
-                    total[a:b, j] += np.bincount(near, part, b - a)
+        total = np.zeros((bounds[-1][1], len(columns) + 3))
+        for (which, _), of in zip(groups, sums):
+            for place, i in enumerate(which):
+                total[slice(*bounds[i])] = of[:, :, place].T
         seen = np.flatnonzero(total[:, 0])
         if len(seen):
             yield pa.RecordBatch.from_arrays(
@@ -143,14 +208,13 @@ def _silhouettes(columns: list[str], starts: list[Start]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(starts))
-        for batch in _slices(batches):
-            x = _matrix(batch, columns)
-            norms, at = (x * x).sum(axis=1), np.arange(len(x))
+        for x, _ in _blocks(batches, len(columns)):
+            norms, at = (x * x).sum(axis=0), np.arange(x.shape[1])
             for i, s in enumerate(starts):
-                near = np.argmin(_distances(x, s.centres), axis=1)
+                near = np.argmin(_distances(x, s.centres[:, None])[:, 0], axis=0)
                 full = s.sizes > 0
                 n = np.where(full, s.sizes, 1.0)
-                mean = norms[:, None] + s.norms / n - 2 * (x @ (s.sums / n[:, None]).T)
+                mean = norms[:, None] + s.norms / n - 2 * (x.T @ (s.sums / n[:, None]).T)
                 mean[:, ~full] = np.inf
                 own = mean[at, near] * s.sizes[near] / np.maximum(s.sizes[near] - 1, 1)
                 mean[at, near] = np.inf
@@ -170,19 +234,32 @@ def sweep(
 ) -> Sweep:
     """The best of ``restarts`` starts for each of ``ks``, and its mean silhouette.
 
-    ``points``: numeric ``columns`` and a 64-bit ``KEY`` that tells rows apart. A start has ended
+    ``points``: numeric ``columns`` and a 64-bit ``KEY`` that tells rows apart, read once and kept in
+    blocks; a stored table, so that a task that runs again finds the same rows. A start has ended
     when none of its centres moves farther than ``tolerance``. A start that runs out of different
     rows has fewer clusters; a cluster that loses all its rows keeps its centre.
     """
     columns = list(columns)
+    # Blocks that get lost are made again from ``points``.
+    blocks = points.mapInArrow(_packed(columns), f"{_NUMBERS} binary, {KEY} binary").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _sweep(blocks, columns, ks, restarts, seed, max_iterations, tolerance)
+    finally:
+        blocks.unpersist()
+
+
+def _sweep(
+    blocks: DataFrame, columns: list[str], ks: Iterable[int], restarts: int, seed: int, max_iterations: int, tolerance: float
+) -> Sweep:
     numbers = ", ".join(f"{c} double" for c in columns)
+    values = blocks.select(_NUMBERS)
     starts = [
         Start(k, seed * 1_000_003 + k * 1009 + r, np.zeros((0, len(columns)))) for k in ks for r in range(restarts)
     ]
     passes = 0
     for step in range(max((s.k for s in starts), default=0)):
         growing = [s for s in starts if s.k > step == len(s.centres)]
-        drawn = points.mapInArrow(
+        drawn = blocks.mapInArrow(
             _draw(columns, [s.centres for s in growing], [s.number for s in growing], step),
             f"start int, rank double, {numbers}",
         )
@@ -191,9 +268,9 @@ def sweep(
             s = growing[r["start"]]
             s.centres = np.vstack([s.centres, [r["top"][c] for c in columns]])
 
-    def totals(of: list[Start]) -> None:
-        found = points.mapInArrow(
-            _assign(columns, [s.centres for s in of]), f"centre int, _n double, _norm double, _cost double, {numbers}"
+    def totals(of: list[Start], costs: bool) -> None:
+        found = values.mapInArrow(
+            _assign(columns, [s.centres for s in of], costs), f"centre int, _n double, _norm double, _cost double, {numbers}"
         )
         rows = found.groupBy("centre").agg(*[F.sum(c).alias(c) for c in found.columns[1:]]).collect()
         table = np.zeros((sum(len(s.centres) for s in of), len(columns) + 3))
@@ -207,7 +284,7 @@ def sweep(
     for _ in range(max_iterations):
         if not moving:
             break
-        totals(moving)
+        totals(moving, costs=False)
         passes += 1
         for s in moving:
             s.passes += 1
@@ -220,14 +297,14 @@ def sweep(
     ready = [s for s in starts if len(s.centres)]
     if not ready:
         return Sweep({}, {}, passes)
-    # Costs so far are those of the centres before the last step.
-    totals(ready)
+    # Only now, with the last step taken, are costs asked for.
+    totals(ready, costs=True)
     best = {}
     for s in ready:
         if s.k not in best or s.cost < best[s.k].cost:
             best[s.k] = s
     chosen = list(best.values())
-    sums = points.mapInArrow(_silhouettes(columns, chosen), "start int, total double")
+    sums = values.mapInArrow(_silhouettes(columns, chosen), "start int, total double")
     found = {r["start"]: r["total"] for r in sums.groupBy("start").agg(F.sum("total").alias("total")).collect()}
     silhouettes = {s.k: found.get(i, 0.0) / s.sizes.sum() for i, s in enumerate(chosen)}
     return Sweep(best, silhouettes, passes + 2)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
@@ -93,12 +92,8 @@ def cluster_customers(
     # A measure that does not vary is zero everywhere.
     deviations = [float(d or 1.0) for d in found[1::2]]
     scaled = [((v - m) / d).alias(c) for c, v, m, d in zip(MEASURES, values, means, deviations)]
-    # Lost partitions are computed again from the written table.
-    points = complete.select(*scaled, F.xxhash64("customer_id").alias(kmeans.KEY)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sweep = kmeans.sweep(points, MEASURES, ks, restarts, seed, max_iterations)
-    finally:
-        points.unpersist()
+    points = complete.select(*scaled, F.xxhash64("customer_id").alias(kmeans.KEY))
+    sweep = kmeans.sweep(points, MEASURES, ks, restarts, seed, max_iterations)
     curve = [(k, s.cost, float(sweep.silhouettes[k])) for k, s in sorted(sweep.best.items())]
     if not curve:
         raise ValueError("there are no customers to cluster")
