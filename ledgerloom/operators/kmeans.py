@@ -50,6 +50,7 @@ class Start:
     sums: np.ndarray | None = None
     norms: np.ndarray | None = None
     cost: float = float("inf")
+    before: np.ndarray | None = None  # centres before the last step
     passes: int = 0
     moving: bool = True
 
@@ -104,13 +105,6 @@ def _distances(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ones(near: np.ndarray, distances: np.ndarray) -> np.ndarray:
-    """``near`` as numbers, with the first of equally near centres only."""
-    if np.count_nonzero(near) != distances[0].size:
-        near = np.argmin(distances, axis=0) == np.arange(len(distances))[:, None, None]
-    return near.astype(np.float64)
-
-
 def _nearest(rows: np.ndarray, parts: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """A one for each row's nearest centre, the first of equally near ones, and zeros for the others.
 
@@ -121,10 +115,9 @@ def _nearest(rows: np.ndarray, parts: np.ndarray, centres: np.ndarray) -> np.nda
     factors = np.stack([norms, np.ones_like(norms), *np.moveaxis(-2 * centres, 2, 0)], axis=2)
     about = (factors.reshape(-1, len(parts)) @ parts).reshape(*norms.shape, -1)
     near = about <= about.min(axis=0) + _ROUNDING * (norms.max() + parts[1].max())
-    if np.count_nonzero(near) == about[0].size:
-        return near.astype(np.float64)
-    distances = _distances(rows, centres)
-    return _ones(distances == distances.min(axis=0), distances)
+    if np.count_nonzero(near) != about[0].size:
+        near = np.argmin(_distances(rows, centres), axis=0) == np.arange(len(centres))[:, None, None]
+    return near.astype(np.float64)
 
 
 def _bounds(sizes: Iterable[int]) -> list[tuple[int, int]]:
@@ -168,25 +161,30 @@ def _draw(columns: list[str], centres: list[np.ndarray], numbers: list[int], ste
     return run
 
 
-def _assign(columns: list[str], centres: list[np.ndarray], costs: bool):
-    """For every centre of every start, what a task has nearest to it; with ``costs`` also the sum
-    of their distances."""
+def _assign(columns: list[str], centres: list[np.ndarray], in_order: bool):
+    """For every centre of every start, what a task has nearest to it. ``in_order`` adds up row after
+    row, which takes longer: equal clusters then have equal sums to the last bit, whichever start
+    they are of, and the sums of distances are there, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = _groups(centres)
         sums = [np.zeros((len(columns) + 3, *points.shape[:2])) for _, points in groups]
-        for x in (b[:, i:i + _ROWS] for b, _ in _blocks(batches, len(columns)) for i in range(0, b.shape[1], _ROWS)):
-            parts = np.stack([np.ones(x.shape[1]), (x * x).sum(axis=0), *x])
-            for (_, points), of in zip(groups, sums):
-                if costs:
-                    distances = _distances(x, points)
-                    near = _ones(distances == distances.min(axis=0), distances)
-                    of[2] += np.einsum("ksr,ksr->ks", near, distances)
-                else:
-                    near = _nearest(x, parts, points)
-                found = (parts @ near.reshape(-1, x.shape[1]).T).reshape(-1, *points.shape[:2])
-                of[:2] += found[:2]
-                of[3:] += found[2:]
+        for block, _ in _blocks(batches, len(columns)):
+            rows = block.shape[1] if in_order else _ROWS
+            for x in (block[:, i:i + rows] for i in range(0, block.shape[1], rows)):
+                parts = np.stack([np.ones(x.shape[1]), (x * x).sum(axis=0), *x])
+                for (which, points), of in zip(groups, sums):
+                    if in_order:
+                        distances = _distances(x, points)
+                        near, least = np.argmin(distances, axis=0), distances.min(axis=0)
+                        for place in range(len(which)):
+                            for j, part in enumerate([*parts[:2], least[place], *x]):
+                                of[j, :, place] += np.bincount(near[place], part, len(points))
+                    else:
+                        near = _nearest(x, parts, points)
+                        found = (parts @ near.reshape(-1, x.shape[1]).T).reshape(-1, *points.shape[:2])
+                        of[:2] += found[:2]
+                        of[3:] += found[2:]
         bounds = _bounds(map(len, centres))
         total = np.zeros((bounds[-1][1], len(columns) + 3))
         for (which, _), of in zip(groups, sums):
@@ -268,9 +266,9 @@ def _sweep(
             s = growing[r["start"]]
             s.centres = np.vstack([s.centres, [r["top"][c] for c in columns]])
 
-    def totals(of: list[Start], costs: bool) -> None:
+    def totals(of: list[Start], in_order: bool) -> None:
         found = values.mapInArrow(
-            _assign(columns, [s.centres for s in of], costs), f"centre int, _n double, _norm double, _cost double, {numbers}"
+            _assign(columns, [s.centres for s in of], in_order), f"centre int, _n double, _norm double, _cost double, {numbers}"
         )
         rows = found.groupBy("centre").agg(*[F.sum(c).alias(c) for c in found.columns[1:]]).collect()
         table = np.zeros((sum(len(s.centres) for s in of), len(columns) + 3))
@@ -280,25 +278,37 @@ def _sweep(
             s.sizes, s.norms, s.sums = table[a:b, 0], table[a:b, 1], table[a:b, 3:]
             s.cost = float(table[a:b, 2].sum())
 
+    def step(of: list[Start], in_order: bool) -> None:
+        """Each centre to the middle of its rows."""
+        totals(of, in_order)
+        for s in of:
+            full = s.sizes > 0
+            new = s.centres.copy()
+            new[full] = s.sums[full] / s.sizes[full, None]
+            s.before, s.centres = s.centres, new
+
     moving = [s for s in starts if len(s.centres)]
     for _ in range(max_iterations):
         if not moving:
             break
-        totals(moving, costs=False)
+        step(moving, in_order=False)
         passes += 1
         for s in moving:
             s.passes += 1
-            full = s.sizes > 0
-            new = s.centres.copy()
-            new[full] = s.sums[full] / s.sizes[full, None]
-            s.moving = bool((((new - s.centres) ** 2).sum(axis=1) > tolerance**2).any())
-            s.centres = new
+            s.moving = bool((((s.centres - s.before) ** 2).sum(axis=1) > tolerance**2).any())
         moving = [s for s in moving if s.moving]
     ready = [s for s in starts if len(s.centres)]
     if not ready:
         return Sweep({}, {}, passes)
-    # Only now, with the last step taken, are costs asked for.
-    totals(ready, costs=True)
+    # The last step again, in order: starts that end in the same clusters then differ by nothing but
+    # the order of their clusters.
+    if again := [s for s in ready if s.before is not None]:
+        for s in again:
+            s.centres = s.before
+        step(again, in_order=True)
+        passes += 1
+    # Costs are those after the last step.
+    totals(ready, in_order=True)
     best = {}
     for s in ready:
         if s.k not in best or s.cost < best[s.k].cost:
